@@ -52,3 +52,17 @@ def two_point_columns(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {"fg2m": F.col("fgm") - F.col("fg3m"), "fg2a": F.col("fga") - F.col("fg3a")}
     )
+
+
+def stamp(df: DataFrame, **constants: object) -> DataFrame:
+    """Add constant columns such as season or period."""
+    return df.withColumns({name: F.lit(value) for name, value in constants.items()})
+
+
+def second_night(last_dates: Iterable[Column | str], as_of: Column) -> Column:
+    """1 when any of the last-game dates is the day before ``as_of``."""
+    yesterday = F.date_sub(as_of, 1)
+    hit = F.lit(False)
+    for d in last_dates:
+        hit = hit | (_col(d).cast("date") == yesterday)
+    return flag(hit)

@@ -3,7 +3,7 @@
 import importlib
 
 # Order of registration, and so of the registry.
-MODULES = ["betting"]
+MODULES = ["betting", "cleaning", "reports"]
 
 
 def load_all() -> None:
