@@ -3,7 +3,7 @@
 import importlib
 
 # Order of registration, and so of the registry.
-MODULES = ["betting", "cleaning", "reports"]
+MODULES = ["betting", "cleaning", "reports", "relational", "storage", "study"]
 
 
 def load_all() -> None:

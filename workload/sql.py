@@ -94,7 +94,7 @@ lines as (
 
 def _team_side(me: str, other: str, wins: str) -> str:
     return f"""
-  select lpad(cast(game_key as varchar), 10, '0') as "GAME_ID", cast(game_key as varchar) as bare_id,
+  select lpad(cast(game_key as varchar), 10, '0') as "GAME_ID", ltrim(cast(game_key as varchar), '0') as bare_id,
     game_date as "GAME_DATE", season as "SEASON_YEAR", {me}_id as "TEAM_ID",
     'T' || lpad(cast({me}_id as varchar), 2, '0') as "TEAM",
     'T' || lpad(cast({other}_id as varchar), 2, '0') as "OPPONENT", '{me.upper()}' as "HOME/AWAY",
@@ -123,12 +123,12 @@ def _misc_side(me: str, other: str) -> str:
             ("paint", "paint_pts"),
         )
     )
-    return f"select cast(game_key as varchar) as game_id, game_date as date, season, {me}_id as team_id, {stats} from games"
+    return f"select ltrim(cast(game_key as varchar), '0') as game_id, game_date as date, season, {me}_id as team_id, {stats} from games"
 
 
 def _advanced_side(me: str) -> str:
     return (
-        f"select cast(game_key as varchar) as game_id, game_date as date, season, {me}_id as team_id, "
+        f"select ltrim(cast(game_key as varchar), '0') as game_id, game_date as date, season, {me}_id as team_id, "
         f"{me}_ast / nullif({me}_tov, 0) as assist_to_turnover, 90 + {me}_cents / 10 as pace from games"
     )
 
