@@ -40,11 +40,12 @@ def drop_null_rows(df: DataFrame, subset: Iterable[str] | None = None) -> DataFr
 def fill_with_means(df: DataFrame, columns: list[str]) -> DataFrame:
     """Replace nulls in each column by the column's mean.
 
-    The means are one aggregate row read as a scalar subquery, so no second pass is planned by hand
-    and nothing is collected.
+    The means are fitted here in one aggregation; one row with a number per column comes back. A
+    column without any value has no mean and stays null.
     """
-    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in columns]).alias("means")).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), means.getField(c)) for c in columns})
+    typed = df.withColumns({c: F.col(c).cast("double") for c in columns})
+    row = typed.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    return typed.fillna({c: row[c] for c in columns if row[c] is not None})
 
 
 def two_point_columns(df: DataFrame) -> DataFrame:

@@ -13,9 +13,10 @@ from hoopline.plans.boxscore import (
     feature_matrix,
     team_boxscore_features,
 )
+from hoopline.session import stage
 from workload import sql as S
 from workload.registry import query
-from workload.views import team_advanced, team_logs, team_misc
+from workload.views import games, team_advanced, team_logs, team_misc
 
 SINCE = 1996
 KEYS = ["game_id", "team"]
@@ -34,7 +35,11 @@ _FEATURES_CTE = f"""{S.BOX}, boxscores as (
 
 
 def _box(spark, sf):
-    return team_boxscore_features(team_logs(spark, sf), team_misc(spark, sf), team_advanced(spark, sf), SINCE)
+    """The three box-score tables exist as stored tables in use, so their common source is stored once."""
+    g = stage(games(spark, sf), "games")
+    return team_boxscore_features(
+        team_logs(spark, sf, g), team_misc(spark, sf, g), team_advanced(spark, sf, g), SINCE
+    )
 
 
 @query("q9_team_boxscore_features", f"with {_FEATURES_CTE} select * from boxscores")
@@ -228,8 +233,6 @@ def m2(spark, sf):
 
 def _training(spark, sf, seed=1):
     """Split matrix with folds, written once because several fits read it."""
-    from hoopline.session import stage
-
     split = M.with_folds(M.stratified_split(_matrix(spark, sf), KEYS, "win", seed), KEYS, "win", seed)
     rows = stage(split, "study-rows")
     return rows.filter(~F.col("is_test")), rows.filter("is_test")

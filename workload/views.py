@@ -156,9 +156,9 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
     return with_underdog(raw_lines(spark, sf))
 
 
-def team_logs(spark: SparkSession, sf: str) -> DataFrame:
-    """Two rows per game, one per side that has any line items."""
-    g = games(spark, sf)
+def team_logs(spark: SparkSession, sf: str, g: DataFrame | None = None) -> DataFrame:
+    """Two rows per game, one per side that has any line items; ``g`` is a stored ``games``."""
+    g = games(spark, sf) if g is None else g
     home_wins = F.col("game_key") % 2 == 0
 
     def side(me: str, other: str, wins: Column) -> Column:
@@ -225,10 +225,11 @@ def _wide_header() -> list[Column]:
     ]
 
 
-def team_misc(spark: SparkSession, sf: str) -> DataFrame:
+def team_misc(spark: SparkSession, sf: str, g: DataFrame | None = None) -> DataFrame:
     stats = ["off_turnovers", "second_chance", "fast_break", "paint"]
     other = {"home": "away", "away": "home"}
-    return games(spark, sf).select(
+    g = games(spark, sf) if g is None else g
+    return g.select(
         *_wide_header(),
         *[
             c
@@ -242,8 +243,9 @@ def team_misc(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def team_advanced(spark: SparkSession, sf: str) -> DataFrame:
-    return games(spark, sf).select(
+def team_advanced(spark: SparkSession, sf: str, g: DataFrame | None = None) -> DataFrame:
+    g = games(spark, sf) if g is None else g
+    return g.select(
         *_wide_header(),
         *[
             c
