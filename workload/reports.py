@@ -211,6 +211,7 @@ join {_team_form_sql("")} t on t."TEAM_ID" = h."TEAM_ID\""""
 
 @query("q3_team_snapshot", Q3_SQL)
 def q3(spark, sf):
+    """Team logs exist as a stored table in use."""
     return snapshots.team_snapshot(team_logs(spark, sf), 3, ["GAME_ID"])
 
 
