@@ -25,7 +25,7 @@ RESULT_SETS = T.StructType(
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """One row per landed payload file, with its path and its text."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.input_file_name().alias("payload_file"), F.col("value").alias("payload")
     )
 
