@@ -302,6 +302,10 @@ def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int
 
 
 def spread_max(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Give every row of a key the largest non-null value of each column within that key."""
+    """Give every row of a key the largest non-null value of each column within that key.
+
+    For keys with few rows each, such as the team rows of a game: they are grouped by key, team and
+    result beforehand, so the copies and players of a hot game are already one row per team.
+    """
     window = Window.partitionBy(*_quoted(keys))
     return df.withColumns({c: F.max(c).over(window) for c in columns})

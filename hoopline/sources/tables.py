@@ -45,7 +45,7 @@ def write_table(
     """Write a table; ``behavior`` is replace, append or fail. Returns its path."""
     if behavior not in BEHAVIORS:
         raise ValueError(f"behavior must be one of {sorted(BEHAVIORS)}, not {behavior!r}")
-    writer = df.write.mode(BEHAVIORS[behavior])
+    writer = (by_partition(df, partition_by) if partition_by else df).write.mode(BEHAVIORS[behavior])
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     path = table_path(root, schema, table)
@@ -53,10 +53,17 @@ def write_table(
     return path
 
 
+def by_partition(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows gathered by table partition before a write: AQE merges small pieces and splits a partition
+    that holds too much for one task, so each gets files of a sensible size."""
+    return df.hint("rebalance", *keys)
+
+
 def reload_partition(df: DataFrame, path: str, key: str) -> None:
     """Replace only those partitions of ``key`` that occur in ``df``; all others stay as they are."""
     (
-        df.write.mode("overwrite")
+        by_partition(df, [key])
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(key)
         .parquet(path)

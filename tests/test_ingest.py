@@ -98,3 +98,29 @@ def test_injury_table(spark):
     <tr><th>Bob</th><td>BBB</td><td>Tue</td><td>Day To Day</td></tr></table>"""
     rows = html.injury_table(spark.createDataFrame([(page,)], "html string"), "html").collect()
     assert [tuple(r) for r in rows] == [("Ann", "AAA", "Mon", "Out", "knee"), ("Bob", "BBB", "Tue", "Day To Day", None)]
+
+
+def test_first_load_keeps_unlisted_players_and_restore_replaces(spark, tmp_path):
+    doc = {
+        "resultSets": [
+            {
+                "headers": ["Player_ID", "GAME_DATE", "MATCHUP", "VIDEO_AVAILABLE"],
+                "rowSet": [[1, "APR 9, 2023", "AAA @ BBB", 1], [2, "APR 9, 2023", "BBB vs. AAA", 1]],
+            }
+        ]
+    }
+    columns = T._parse_datatype_string("Player_ID long, GAME_DATE string, MATCHUP string, VIDEO_AVAILABLE int")
+    players = spark.createDataFrame([(1, "Ann")], "PERSON_ID long, DISPLAY_FIRST_LAST string")
+    landed = spark.createDataFrame([(json.dumps(doc),)], "payload string")
+    rows = P.shape_all_player_logs(landed, columns, players)
+    assert "MATCHUP" not in rows.columns and "VIDEO_AVAILABLE" not in rows.columns
+    assert {(r.Player_ID, r.player_name) for r in rows.collect()} == {(1, "Ann"), (2, None)}
+    for backup in (rows, rows.limit(1)):
+        path = P.restore_table(backup, str(tmp_path), "gamelogs", "player_gamelogs")
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_partitioned_write(spark, tmp_path):
+    df = spark.range(100).selectExpr("id", "id % 3 as season")
+    path = tables.write_table(df, str(tmp_path), "g", "t", "replace", partition_by=["season"])
+    assert spark.read.parquet(path).filter("season = 1").count() == 33
