@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hoopline.llm.decontaminate import contamination
 from hoopline.llm.frames import table
+from hoopline.llm.html_extract import extract_pages
+from hoopline.llm.language_id import fit_languages, identify_languages
 from hoopline.llm.pieces import piece_digests
 from hoopline.llm.repetition import quality_rules
 from hoopline.llm.warc import archive_round_trip
@@ -79,6 +81,17 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), piece_model())
 
 
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return identify_languages(documents, fit_languages(documents))
+
+
+@query("op6_html_extraction")
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 @query(
     "op7_quality_rules",
     r"""
