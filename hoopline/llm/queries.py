@@ -13,6 +13,7 @@ from hoopline.llm.html_extract import extract_pages
 from hoopline.llm.language_id import fit_languages, identify_languages
 from hoopline.llm.pieces import piece_digests
 from hoopline.llm.repetition import quality_rules
+from hoopline.llm.suffix_dedup import suffix_dedup
 from hoopline.llm.warc import archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +160,8 @@ _BASE32 = " || ".join(
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages read back from archives. A record that fails its checks keeps its row, with no size."""
     return archive_round_trip(table(spark, sf_dir, "pages")).drop("problem")
+
+
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
