@@ -11,6 +11,7 @@ from hoopline.llm.decontaminate import contamination
 from hoopline.llm.frames import table
 from hoopline.llm.html_extract import extract_pages
 from hoopline.llm.language_id import fit_languages, identify_languages
+from hoopline.llm.ngram_join import near_duplicates
 from hoopline.llm.pieces import piece_digests
 from hoopline.llm.repetition import quality_rules
 from hoopline.llm.suffix_dedup import suffix_dedup
@@ -47,6 +48,37 @@ def _words(text: str) -> str:
     return _ITEM_WORDS.format(lower=_LOWER.format(text=f"coalesce({text}, '')"))
 
 
+@query(
+    "op2_ngram_jaccard_join",
+    f"""
+    with recursive d as (
+        select doc_id, row_number() over () as r,
+            list_filter(string_split_regex({_LOWER.format(text="coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
+        from documents
+    ),
+    grams as (
+        select distinct r, array_to_string(w[k : k + least(5, len(w)) - 1], ' ') as g
+        from (select r, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) as k from d where len(w) > 0)
+    ),
+    sizes as (select r, count(*) as n from grams group by r),
+    pairs as (
+        select a.r as a, b.r as b, count(*) as c from grams a join grams b on a.g = b.g and a.r <> b.r group by all
+    ),
+    links as (
+        select a, b from pairs join sizes x on x.r = a join sizes y on y.r = b where 100 * c >= 80 * (x.n + y.n - c)
+    ),
+    reach(r, s) as (
+        select r, r from d union select reach.r, links.b from reach join links on links.a = reach.s
+    )
+    select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id
+    from d left join sizes using (r)
+    join (select reach.r, min(e.doc_id) as component_id from reach join d e on e.r = reach.s group by reach.r) using (r)
+    """,
+)
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op3_decontaminate",
     f"""
