@@ -10,11 +10,8 @@ A document's set is its distinct ``GRAM``-word shingles. Documents with equal se
 3. Candidates pass four tests before texts are fetched: length; prefix (the smaller set's place lies in its shorter
    indexing prefix); position (shared ones so far plus the shorter rest); suffix (counts of the set in ``PIVOTS``
    hash ranges, whose differences add up to no more than may differ).
-4. A shingle that thousands share would pair all of them. Only components are asked for, so its members are first
-   compared with one member, that with the fewest unshared shingles. What is linked needs no further pair. For
-   members that are not, two more rounds use other members of the linked part; only what is still apart then is
-   compared pair by pair, so no link between different components can be missed.
-5. Each pair is verified once, on its whole sets: a center's text is read once and its members stream past.
+4. Candidates are compared star by star and verified once per pair on whole sets (see ``stars``). The first center
+   of a shingle's classes is the one with the fewest unshared shingles: of near copies, the least edited.
 
 Cases: null, empty and blank texts have an empty set and no links. With fewer words than ``GRAM`` the whole sequence is
 the only shingle. Repeated rows are equal sets. Rows without an id take part; a component's id is its smallest id,
@@ -34,8 +31,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hoopline.llm.blocks import LOWER, SPACES, TextBlock, Words, blocks, gram_hashes, mix
-from hoopline.llm.components import connected_components
+from hoopline.llm.bloom import may_contain, membership
 from hoopline.llm.frames import partitions, slices, stage
+from hoopline.llm.stars import linked_classes
 
 GRAM = 5
 PERCENT = 80
@@ -43,9 +41,6 @@ SKETCH_BITS = 20
 SLICES = 64
 PIVOTS = 8
 HELD_BYTES = 48_000_000
-STAR_ROUNDS = 3
-#: Members compared with one copy of a center.
-MEMBERS_PER_CENTER = 2000
 _NOTHING = 0
 _ODD = 0x9E3779B97F4A7C15
 
@@ -224,38 +219,13 @@ def may_link(a: str, b: str, percent: int) -> Column:
     return (x["ref"] != y["ref"]) & length & prefix & position & suffix
 
 
-_MEMBER = "center long, salt int, kind int, ref long, text string"
-
-
-def _verify(percent: int, size: int):
-    """Rows ordered by (center, salt, kind): a center's text, then its members. Linked pairs come out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        center, base = None, np.zeros(0, np.uint64)
-        for batch in slices(batches):
-            centers, kinds, refs = (batch.column(k).to_pylist() for k in (0, 2, 3))
-            a, b, row = [], [], 0
-            for _, block in blocks(batch.column(4)):
-                for held in shingle_sets(block, size):
-                    if kinds[row] == 0:
-                        center, base = centers[row], held
-                    elif centers[row] == center:
-                        place = np.minimum(np.searchsorted(base, held), len(base) - 1)
-                        common = int((base[place] == held).sum())
-                        if 100 * common >= percent * (len(base) + len(held) - common):
-                            a.append(center)
-                            b.append(refs[row])
-                    row += 1
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    return run
-
-
-def _with_references(size: int):
+def _with_references(size: int, wanted: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             refs = [set_reference(s) for _, block in blocks(batch.column(0)) for s in shingle_sets(block, size)]
-            yield pa.RecordBatch.from_arrays([pa.array(refs, pa.int64()), batch.column(0)], names=["ref", "text"])
+            refs = np.array(refs, np.int64)
+            kept = pa.array(may_contain(wanted.value, refs))
+            yield pa.RecordBatch.from_arrays([pa.array(refs), batch.column(0)], names=["ref", "text"]).filter(kept)
 
     return run
 
@@ -291,69 +261,22 @@ class NgramJoin:
         )
         return stage(found, "shared-shingles")
 
-    def verified(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        """The linked ones of ``pairs`` (center, ref)."""
-        salts = pairs.groupBy("center").agg(F.ceil(F.count("*") / MEMBERS_PER_CENTER).alias("salts"))
-        members = pairs.join(salts, "center").join(texts, "ref").select(
-            "center", F.pmod(F.xxhash64("ref"), "salts").cast("int").alias("salt"), F.lit(1).alias("kind"), "ref", "text"
-        )
-        centers = salts.join(texts, F.col("center") == F.col("ref")).select(
-            "center", F.explode(F.sequence(F.lit(0), (F.col("salts") - 1).cast("int"))).alias("salt"),
-            F.lit(0).alias("kind"), "ref", "text",
-        )
-        rows = members.unionByName(centers).repartition(partitions(self.spark), "center", "salt")
-        return rows.sortWithinPartitions("center", "salt", "kind").mapInArrow(
-            _verify(self.percent, self.size), "a long, b long"
-        )
-
     def run(self) -> DataFrame:
-        """(ref, root) of every class that is linked with another."""
+        """(node, root) of every class that is linked with another."""
         shared = self.shared()
         wanted = shared.select("ref").distinct()
-        texts = self.rows.select("text").mapInArrow(_with_references(self.size), "ref long, text string")
+        texts = self.rows.select("text").mapInArrow(
+            _with_references(self.size, membership(wanted)), "ref long, text string"
+        )
         # combined before the shuffle, so a class of many copies arrives as few rows
         texts = texts.groupBy("ref").agg(F.first("text").alias("text"))
         texts = stage(texts.join(wanted, "ref", "left_semi"), "class-texts")
-        links = tested = labels = None
-        for step in range(STAR_ROUNDS + 1):
-            pairs = self.candidates(shared, labels, step)
-            if tested is not None:
-                pairs = pairs.join(tested, ["center", "ref"], "left_anti")
-            pairs = stage(pairs, "candidates")
-            if pairs.isEmpty():
-                continue  # the filters or earlier rounds leave this round nothing; the last one misses nothing
-            found = stage(self.verified(pairs, texts), "links")
-            links = found if links is None else links.unionByName(found)
-            turned = pairs.unionByName(pairs.select(F.col("ref").alias("center"), F.col("center").alias("ref")))
-            tested = turned if tested is None else tested.unionByName(turned)
-            labels = stage(connected_components(links), "classes")
-        if labels is None:
-            return self.spark.createDataFrame([], "node long, root long")
-        return labels
-
-    def candidates(self, shared: DataFrame, labels: DataFrame | None, step: int) -> DataFrame:
-        """Pairs (center, ref) to compare: by stars of each shingle's members, in the last step all that are apart."""
-        mine = F.struct("ref", "n", "place", "pivots", "shared", *(["root"] if labels is not None else []))
-        if labels is None:
-            rows = shared
-            rank = F.struct(F.expr(f"n - cast(ceil(n * {self.percent} / 100) as int) + 1 - held"), "ref")
-        else:
-            rows = shared.join(labels.withColumnRenamed("node", "ref"), "ref", "left")
-            rows = rows.withColumn("root", F.coalesce("root", "ref"))
-            apart = rows.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-            rows = rows.join(apart.filter("least <> most").select("token"), "token", "left_semi")
-            rank = F.struct(F.xxhash64("token", "ref", F.lit(step)), "ref")
-        differ = F.lit(True) if labels is None else F.col("x.root") != F.col("y.root")
-        if step < STAR_ROUNDS:
-            centers = rows.groupBy("token").agg(F.min_by(mine, rank).alias("x"))
-            paired = rows.select("token", mine.alias("y")).join(centers, "token")
-            paired = paired.filter(may_link("x", "y", self.percent) & differ)
-        else:
-            one, other = rows.select("token", mine.alias("x")), rows.select("token", mine.alias("y"))
-            paired = one.join(other, "token").filter(
-                (F.col("x.ref") < F.col("y.ref")) & may_link("x", "y", self.percent) & differ
-            )
-        return paired.select(F.col("x.ref").alias("center"), F.col("y.ref").alias("ref")).distinct()
+        percent, size = self.percent, self.size
+        unshared = F.expr(f"n - cast(ceil(n * {percent} / 100) as int) + 1 - held")
+        return linked_classes(
+            shared, texts, lambda block: shingle_sets(block, size), percent,
+            lambda a, b: may_link(a, b, percent), F.struct(unshared, "ref"),
+        )
 
 
 def near_duplicates(
