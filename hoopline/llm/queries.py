@@ -11,6 +11,7 @@ from hoopline.llm.decontaminate import contamination
 from hoopline.llm.frames import table
 from hoopline.llm.html_extract import extract_pages
 from hoopline.llm.language_id import fit_languages, identify_languages
+from hoopline.llm.line_dedup import deduplicated_lines
 from hoopline.llm.ngram_join import near_duplicates
 from hoopline.llm.pieces import piece_digests
 from hoopline.llm.repetition import quality_rules
@@ -48,6 +49,11 @@ def _words(text: str) -> str:
     return _ITEM_WORDS.format(lower=_LOWER.format(text=f"coalesce({text}, '')"))
 
 
+@query("op1_line_dedup")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicated_lines(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op2_ngram_jaccard_join",
     f"""
