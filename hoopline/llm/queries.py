@@ -16,6 +16,7 @@ from hoopline.llm.ngram_join import near_duplicates
 from hoopline.llm.pieces import piece_digests
 from hoopline.llm.repetition import quality_rules
 from hoopline.llm.suffix_dedup import suffix_dedup
+from hoopline.llm.surrogates import replace_personal_data
 from hoopline.llm.warc import archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,3 +204,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_suffix_dedup")
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op10_surrogates")
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key is the session's ``spark.hoopline.surrogateKey``; set a secret one in production."""
+    key = spark.conf.get("spark.hoopline.surrogateKey", "no secret key is set")
+    return replace_personal_data(table(spark, sf_dir, "documents"), key)
