@@ -28,9 +28,6 @@ from hoopline.session import stage
 
 # Rows of one key that a single task sorts without trouble.
 ROWS_PER_TASK = 4_000_000
-# At most this many keys are taken out as hot. Keys below the cut hold at most 1/10,000 of all rows
-# each, and the list of hot keys is bounded whatever the size of the data.
-MAX_HOT_KEYS = 10_000
 
 
 @dataclass(frozen=True)
@@ -67,10 +64,13 @@ class Measure:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys (in the order of ``columns``) whose rows need more than one task, with their row count."""
+    """Keys whose rows need more than one task: a stored table of them, and the rows of all together.
+
+    The table has one column ``__hot<i>`` for each of ``columns``; it is None if no key is hot.
+    """
 
     columns: tuple[str, ...]
-    rows: tuple[tuple, ...] = ()
+    keys: DataFrame | None = None
     total: int = 0
 
 
@@ -80,10 +80,10 @@ _AGGREGATE = {"avg": F.avg, "stddev": F.stddev_samp, "sum": F.sum, "lag": F.firs
 def find_hot(
     df: DataFrame, *key_sets: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> list[HotKeys]:
-    """Count rows for all ``key_sets`` in one job and return the keys above ``rows_per_task``.
+    """Count rows for all ``key_sets`` in one job and keep the keys above ``rows_per_task`` as a table.
 
-    The count reads only the key columns and combines before it shuffles; at most ``MAX_HOT_KEYS``
-    small rows come back.
+    The count reads only the key columns and combines before it shuffles. Every hot key is kept,
+    however many there are; one row of totals per key set comes back.
     """
     names = list(dict.fromkeys(k for keys in key_sets for k in keys))
     counted = df.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(names)])
@@ -92,19 +92,16 @@ def find_hot(
     counts = counted.groupingSets(sets, *position.values()).agg(
         F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid")
     )
-    top = counts.filter(F.col("n") > rows_per_task).orderBy(F.desc("n")).limit(MAX_HOT_KEYS).collect()
+    top = stage(counts.filter(F.col("n") > rows_per_task), "hot-keys")
+    totals = {r["gid"]: r["total"] for r in top.groupBy("gid").agg(F.sum("n").alias("total")).collect()}
     found = []
     for keys, positions in zip(key_sets, sets):
         # grouping_id has a 1 bit for every column that is aggregated away, first column highest.
         gid = sum(1 << (len(names) - 1 - i) for i in range(len(names)) if f"k{i}" not in positions)
-        mine = [r for r in top if r["gid"] == gid]
-        found.append(
-            HotKeys(
-                tuple(keys),
-                tuple(tuple(r[p] for p in positions) for r in mine),
-                sum(r["n"] for r in mine),
-            )
+        mine = top.filter(F.col("gid") == gid).select(
+            *[F.col(p).alias(f"__hot{i}") for i, p in enumerate(positions)]
         )
+        found.append(HotKeys(tuple(keys), mine, totals[gid]) if gid in totals else HotKeys(tuple(keys)))
     return found
 
 
@@ -123,12 +120,10 @@ def over_rows(
     """
     if hot is None:
         (hot,) = find_hot(df, keys, rows_per_task=rows_per_task)
-    if not hot.rows:
+    if hot.keys is None:
         return _within_one_task(df, keys, order, measures)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = ", ".join(f"__hot{i} {types[k]}" for i, k in enumerate(keys))
-    # Bounded by MAX_HOT_KEYS rows, hence safe to broadcast.
-    listed = F.broadcast(df.sparkSession.createDataFrame([tuple(r) for r in hot.rows], schema))
+    # Both ways read the input, so it is stored once; whether the list of keys is broadcast follows its size.
+    df, listed = stage(df, "window-input"), hot.keys
     same = _all(F.col(f"`{k}`").eqNullSafe(F.col(f"__hot{i}")) for i, k in enumerate(keys))
     usual = _within_one_task(df.join(listed, same, "left_anti"), keys, order, measures)
     busy = _across_tasks(
@@ -183,7 +178,7 @@ def with_positions(
         )
     )
     here = Window.partitionBy(*_quoted(keys), "__block").orderBy(*_quoted(order), "__salt")
-    # One row per block plus at most one more per key: bounded by blocks + MAX_HOT_KEYS.
+    # One row per block plus at most one more per hot key; the join below the window is on the window's keys.
     return (
         _attach(ranged, starts, [*keys, "__block"], ["__start"])
         .withColumn("__rn", F.col("__start") + F.row_number().over(here) - 1)
@@ -197,7 +192,7 @@ def _attach(df: DataFrame, small: DataFrame, on: Sequence[str], values: Sequence
         *[F.col(f"`{k}`").alias(f"__on{i}") for i, k in enumerate(on)], *values
     )
     same = _all(F.col(f"`{k}`").eqNullSafe(F.col(f"__on{i}")) for i, k in enumerate(on))
-    joined = df.join(F.broadcast(renamed), same, "left")
+    joined = df.join(renamed, same, "left")
     return joined.drop(*[f"__on{i}" for i in range(len(on))])
 
 
@@ -223,7 +218,7 @@ def _across_tasks(df, keys, order, measures, total, rows_per_task) -> DataFrame:
     running = [m for m in measures if m.frame.start is None]
     values = list(dict.fromkeys(m.column for m in running))
     if values:
-        # One row per chunk of a hot key: bounded by total / width + MAX_HOT_KEYS.
+        # One row per chunk of a hot key; joined on the keys that the next window needs anyway.
         pieces = _attach(
             pieces,
             _carried(ranked, keys, values),

@@ -384,7 +384,7 @@ def w1_split(spark, sf):
     """Two keys hold all rows, so the distributed way is taken whatever the scale."""
     rows = player_logs(spark, sf).select("HOME/AWAY", "Player_ID", *LOG_ORDER)
     order = [*LOG_ORDER, "Player_ID"]
-    limit = 10_000
+    limit = 500
     (hot,) = find_hot(rows, ["HOME/AWAY"], rows_per_task=limit)
     return over_rows(
         rows,

@@ -13,6 +13,7 @@ from workload import sql as S
 from workload.registry import query
 from workload.views import lines, player_logs, players, table, team_logs, team_misc
 
+ALL_SEASONS = 0
 
 @query(
     "j1_left_join_height",
@@ -118,14 +119,14 @@ def j3(spark, sf):
         strip_zeros("GAME_ID").alias("game_id"), F.col("TEAM_ID").alias("team_id"), F.col("PTS").alias("pts")
     )
     keys = ["game_id", "team_id"]
-    misc = side_rows(team_misc(spark, sf), MISC_METRICS, 1990).select(*keys, "paint_pts")
-    advanced = side_rows(team_advanced(spark, sf), ADVANCED_METRICS, 1990).select(*keys, "pace")
+    misc = side_rows(team_misc(spark, sf), MISC_METRICS, ALL_SEASONS).select(*keys, "paint_pts")
+    advanced = side_rows(team_advanced(spark, sf), ADVANCED_METRICS, ALL_SEASONS).select(*keys, "pace")
     return logs.join(misc, keys).join(advanced, keys)
 
 
-@query("u1_union_of_sides", f"with {S.BOX} select * exclude (season) from misc where season >= 1998")
+@query("u1_union_of_sides", f"with {S.BOX} select * exclude (season) from misc")
 def u1(spark, sf):
-    return side_rows(team_misc(spark, sf), MISC_METRICS, 1998)
+    return side_rows(team_misc(spark, sf), MISC_METRICS, ALL_SEASONS)
 
 
 @query(

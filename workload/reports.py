@@ -226,34 +226,26 @@ def a12(spark, sf):
 
 
 def lineup_payloads(spark, sf):
-    """One daily-lineup document per game; the first and last player of each side are listed."""
+    """One daily-lineup document per game with every player of each side."""
     p = _played(spark, sf)
     sides = {"home": F.col("at_home"), "away": ~F.col("at_home")}
-    ends = [
-        f(F.when(here, F.col("l_suppkey"))).alias(f"{side}_{end}")
-        for side, here in sides.items()
-        for end, f in (("first", F.min), ("last", F.max))
-    ]
-    games = p.groupBy("l_orderkey", "home_id", "away_id").agg(*ends)
+    listed = [F.sort_array(F.collect_set(F.when(here, F.col("l_suppkey")))).alias(side) for side, here in sides.items()]
+    games = p.groupBy("l_orderkey", "home_id", "away_id").agg(*listed)
 
     def team(side):
-        def player(end):
-            who = F.col(f"{side}_{end}")
+        def player(who):
             number = who.cast("string")
             status = F.when(who % 9 == 0, "Inactive").otherwise("Active")
-            return F.when(
-                who.isNotNull(),
-                F.struct(
-                    who.alias("personId"), F.lit("Player").alias("firstName"), number.alias("lastName"),
-                    F.concat(F.lit("Player "), number).alias("playerName"), F.lit("Expected").alias("lineupStatus"),
-                    F.lit("G").alias("position"), status.alias("rosterStatus"),
-                ),
+            return F.struct(
+                who.alias("personId"), F.lit("Player").alias("firstName"), number.alias("lastName"),
+                F.concat(F.lit("Player "), number).alias("playerName"), F.lit("Expected").alias("lineupStatus"),
+                F.lit("G").alias("position"), status.alias("rosterStatus"),
             )
 
         return F.struct(
             F.col(f"{side}_id").alias("teamId"),
             F.concat(F.lit("T"), F.lpad(F.col(f"{side}_id").cast("string"), 2, "0")).alias("teamAbbreviation"),
-            F.filter(F.array(player("first"), player("last")), lambda x: x.isNotNull()).alias("players"),
+            F.transform(side, player).alias("players"),
         )
 
     game = F.struct(
@@ -263,10 +255,9 @@ def lineup_payloads(spark, sf):
 
 
 _LINEUP_SQL = S.PLAYED + """, listed as (
-  select distinct l_orderkey, side, team_id, unnest([lo, hi]) as person from (
-    select l_orderkey, case when at_home then 'home' else 'away' end as side,
-      case when at_home then home_id else away_id end as team_id, min(l_suppkey) as lo, max(l_suppkey) as hi
-    from played group by 1, 2, 3)),
+  select distinct l_orderkey, case when at_home then 'home' else 'away' end as side,
+    case when at_home then home_id else away_id end as team_id, l_suppkey as person
+  from played),
 lineup as (select cast(l_orderkey as varchar) as "gameId", team_id as "teamId",
     'T' || lpad(cast(team_id as varchar), 2, '0') as "teamAbbreviation", person as "personId", 'Player' as "firstName",
     cast(person as varchar) as "lastName", 'Player ' || cast(person as varchar) as "playerName",
