@@ -422,10 +422,12 @@ def _deduplicated(documents: DataFrame, text: str, length: int, keep_bytes: bool
     texts = _texts(documents, text)
     cuts = splitters(documents, text, length)
     long = texts.filter(F.octet_length("text") >= length)
-    grams = long.select("key", "text").mapInArrow(_emit_grams(cuts, length), _ddl(_GRAMS))
+    # all three steps read the same columns of the texts, so their one shuffle serves all
+    grams = long.select("key", "text", "copies").mapInArrow(_emit_grams(cuts, length), _ddl(_GRAMS))
     live = grams.groupBy("bucket").applyInArrow(_live, _ddl(_LIVE))
     live = live.groupBy("key").agg(F.collect_list("numbers").alias("live"))
-    contexts = long.join(live, "key").select("key", "text", "copies", "live")
+    # a left join, as an inner one would filter the texts below their shuffle and so need one of its own
+    contexts = long.join(live, "key", "left").select("key", "text", "copies", "live")
     contexts = contexts.mapInArrow(_emit_contexts(cuts, length), _ddl(_CONTEXTS))
     spans = contexts.groupBy("bucket").applyInArrow(_repeats(length), _ddl(_SPANS))
     spans = spans.groupBy("key").agg(F.collect_list("spans").alias("spans"))
