@@ -46,11 +46,10 @@ def iso_date(text: Column | str) -> Column:
 
 
 def mixed_date(text: Column | str) -> Column:
-    """Dates written ``APR 9, 2023`` or ``2023-04-09``."""
-    value = _col(text)
-    return F.coalesce(
-        F.try_to_date(F.initcap(value), "MMM d, yyyy"), F.try_to_date(value, "yyyy-M-d")
-    )
+    """Dates written ``APR 9, 2023`` or ``2023-04-09``, the latter with or without a time after it."""
+    value = F.trim(_col(text))
+    day = F.regexp_extract(value, r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})(?:[T ].*)?$", 1)
+    return F.coalesce(F.try_to_date(F.initcap(value), "MMM d, yyyy"), F.try_to_date(day, "yyyy-M-d"))
 
 
 def season_year(season_id: Column | str) -> Column:

@@ -46,6 +46,8 @@ def p2(spark, sf):
     text = (
         F.when(F.col("o_orderkey") % 101 == 0, "not a date")
         .when(F.col("o_orderkey") % 2 == 0, F.upper(F.date_format(day, "MMM d, yyyy")))
+        .when(F.col("o_orderkey") % 3 == 0, F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss"))
+        .when(F.col("o_orderkey") % 5 == 0, F.date_format(day, "yyyy-MM-dd HH:mm"))
         .otherwise(F.date_format(day, "yyyy-M-d"))
     )
     return table(spark, sf, "orders").select("o_orderkey", T.mixed_date(text).alias("game_date"))

@@ -275,12 +275,19 @@ def injury_pages(spark, sf):
     s = F.col("s_suppkey")
     status = F.when(s % 4 == 0, "Out - knee").when(s % 4 == 1, "Out For Season - ankle").when(s % 4 == 2, "Day To Day - rest").otherwise("Questionable")
     name = F.when(s % 10 == 8, "").otherwise(F.concat(F.lit("Player "), s.cast("string")))
-    row = F.concat(
+    team, name = F.col("s_nationkey").cast("string"), F.replace(name, F.lit(" "), F.when(s % 3 == 0, "&#32;").otherwise("&#x20;"))
+    usual = F.concat(
         F.lit('<table><tr><th>Player</th><th>Team</th><th>Update</th><th>Description</th></tr><tr><th scope="row"><a href="#">'),
-        name, F.lit("</a></th><td>Team "), F.col("s_nationkey").cast("string"),
-        F.lit("</td><td>Mon</td>\n<td>"), status, F.lit("</td></tr></table>"),
+        name, F.lit("</a></th><td>Team "), team, F.lit("</td><td>Mon</td>\n<td>"), status, F.lit("</td></tr></table>"),
     )
-    return table(spark, sf, "supplier").select("s_suppkey", row.alias("html"))
+    # upper-case tags and another order of the columns
+    other = F.concat(
+        F.lit("<TABLE><TR><TH>Team</TH><TH>DESCRIPTION</TH><TH>Player</TH><TH>Update</TH></TR>\n<TR><TD>Team "), team,
+        F.lit("</TD><TD>"), status, F.lit("</TD><TD>"), name, F.lit("</TD><TD>Mon</TD></TR></TABLE>"),
+    )
+    more = F.lit("<table><tr><th>Player</th></tr><tr><td>Player 1</td></tr></table>")
+    page = F.concat(F.lit("<html>"), F.when(s % 7 == 0, other).otherwise(usual), more, F.lit("</html>"))
+    return table(spark, sf, "supplier").select("s_suppkey", page.alias("html"))
 
 
 _INJURY_SQL = """injuries as (select s_suppkey,
