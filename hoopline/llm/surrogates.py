@@ -42,6 +42,8 @@ SECRET_VALUE = r"[A-Za-z0-9+/_\-]{16,}"
 MALE = "Mr|Herr|Monsieur|Señor|Sr|Г-н|господин"
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Г-жа|госпожа"
 NEUTRAL = "Dr|Prof|Mx"
+#: One of these is part of each form of address.
+TITLE_PARTS = "Mr Ms Mx Miss Dr Prof Herr Frau Monsieur Madame Mme Señor Sr Г- господин госпожа".split()
 NAME = r"\p{Lu}[\p{L}'’\-]+"
 ADDRESS = rf"(?<![\p{{L}}])(?:{MALE}|{FEMALE}|{NEUTRAL})\.?\s"
 PERSON = rf"{ADDRESS}{NAME}(?:\s{NAME})?"
@@ -62,6 +64,14 @@ SYLLABLES = {
 KINDS = ("email", "ip", "phone", "ssn", "card", "secret", "person")
 
 
+def may_match(text: Column) -> Column:
+    """A cheap test that every text with a match of ``ANY`` passes: no kind goes without one of these."""
+    # all but secrets, addresses and persons begin with or contain a digit followed like this
+    numbers = text.rlike("[0-9](?:[0-9]{3}|[.\\-][0-9])|\\+[0-9]")
+    titles = [text.contains(t) for t in TITLE_PARTS]
+    return reduce(lambda a, b: a | b, [text.contains("@"), text.contains("="), text.contains(":"), numbers, *titles])
+
+
 def _digits(c: Column) -> Column:
     return F.regexp_replace(c, "[^0-9]", "")
 
@@ -248,8 +258,9 @@ def replace_personal_data(documents: DataFrame, key: str, doc_id: str = "doc_id"
     """One row per document: doc_id, the number of mentions by kind (a person counts once per mention), and the text."""
     rows = documents.select(
         documents[doc_id].alias("doc_id"), documents[text].cast("string").alias("text"),
-        F.coalesce(documents[text].cast("string").rlike(ANY), F.lit(False)).alias("hit"),
     )
+    found = F.when(may_match(F.col("text")), F.col("text").rlike(ANY))
+    rows = rows.withColumn("hit", F.coalesce(found, F.lit(False)))
     hits = rows.filter("hit").select(
         "doc_id", "text", F.xxhash64("text").alias("name"), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("found")
     )
