@@ -1,8 +1,8 @@
 """Fuzzy line dedup by MinHash: of lines that are alike, the corpus keeps one.
 
 1. Each line with something in it gets a signature: for ``ROWS`` independent hash functions its character shingles are
-   split into ``BANDS`` bins, each bin keeping its least hash (a bin that stays empty borrows its neighbour's). Band b
-   is bin b of all functions. Equal lines of a task are signed once.
+   split into 16 bins, each bin keeping its least hash (a bin that stays empty borrows its neighbour's). Band b is bin
+   b of all functions, for the first ``BANDS`` bins. Equal lines of a task are signed once.
 2. Bands are dealt to buckets; lines that share a band are candidates. At a similarity of 0.8 a pair shares one of the
    ``BANDS`` with a probability of about 1 - (1 - 0.8**ROWS)**BANDS = 0.998.
 3. Candidates are verified on their exact shingle sets, star by star and each pair once (see ``stars``), and linked
@@ -32,13 +32,15 @@ from pyspark.sql import types as T
 from hoopline.llm.blocks import LOWER, SPACES, TextBlock, blocks, mix, prefix_hashes, span_hashes
 from hoopline.llm.bloom import may_contain, membership
 from hoopline.llm.frames import partitions, slices, stage
-from hoopline.llm.stars import linked_classes
+from hoopline.llm.stars import Groups, linked_classes, parities
 
 SHINGLE = 8
 PERCENT = 80
-BANDS = 16
-ROWS = 5
-HELD_BYTES = 48_000_000
+BANDS = 12
+ROWS = 4
+HELD_BYTES = 16_000_000
+BLOCK_BYTES = 1 << 18
+_BINS = 16
 _EMPTY = np.uint32(0xFFFFFFFF)
 _MULTIPLIERS = np.random.default_rng(99).integers(1, 1 << 63, ROWS, dtype=np.uint64) | np.uint64(1)
 
@@ -100,16 +102,17 @@ def shingle_sets(block: TextBlock) -> list[np.ndarray]:
 
 def band_hashes(line: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     """(n, BANDS) hashes of the bands of ``n`` lines, from their shingles in any order."""
-    out = np.zeros((n, BANDS), np.uint64)
-    base = line * BANDS
+    out = np.zeros((n, _BINS), np.uint64)
+    base = line * _BINS
     for k in range(ROWS):
         h = hashes * _MULTIPLIERS[k]
-        h ^= h >> np.uint64(32)
-        bins = (h >> np.uint64(28)).astype(np.int64) & (BANDS - 1)
-        least = np.full(n * BANDS, _EMPTY, np.uint32)
-        np.minimum.at(least, base + bins, (h * _MULTIPLIERS[k] >> np.uint64(32)).astype(np.uint32))
-        least = least.reshape(n, BANDS)
-        for step in range(1, BANDS):
+        bins = (h.astype(np.uint32) >> np.uint32(28)).astype(np.int64)
+        bins += base
+        h >>= np.uint64(32)
+        least = np.full(n * _BINS, _EMPTY, np.uint32)
+        np.minimum.at(least, bins, h.astype(np.uint32))
+        least = least.reshape(n, _BINS)
+        for step in range(1, _BINS):
             empty = least == _EMPTY
             if not empty.any():
                 break
@@ -117,7 +120,7 @@ def band_hashes(line: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
             lent = np.roll(least, -1, 1)
             least = np.where(empty & (lent != _EMPTY), lent * np.uint32(0x9E3779B1) + np.uint32(1), least)
         out = mix(out ^ (least.astype(np.uint64) + np.uint64(k << 40)))
-    return mix(out ^ np.arange(BANDS, dtype=np.uint64) << np.uint64(56))
+    return mix(out[:, :BANDS] ^ np.arange(BANDS, dtype=np.uint64) << np.uint64(56))
 
 
 def _postings(buckets: int):
@@ -143,7 +146,7 @@ def _postings(buckets: int):
             yield pa.RecordBatch.from_arrays(columns, names=["bucket", "band", "key"])
 
         for batch in slices(batches):
-            for _, block in blocks(batch.column(0)):
+            for _, block in blocks(batch.column(0), BLOCK_BYTES):
                 lines = Lines(block)
                 order = np.argsort(lines.keys)
                 first = order[np.concatenate(([True], lines.keys[order][1:] != lines.keys[order][:-1]))[: lines.n]]
@@ -195,6 +198,15 @@ def _wanted_lines(wanted: Broadcast):
     return run
 
 
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines with the size and parities of their sets."""
+    for batch in slices(batches):
+        sets = [s for _, block in blocks(batch.column(1), BLOCK_BYTES) for s in shingle_sets(block)]
+        sizes = pa.array([len(s) for s in sets], pa.int64())
+        odd = pa.array([parities(s) for s in sets], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([*batch.columns, sizes, odd], ["ref", "text", "size", "parity"])
+
+
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         ids, names = batch.column(0), batch.column(1)
@@ -213,11 +225,13 @@ def line_classes(documents: DataFrame, text: str = "text") -> DataFrame:
     texts = documents.select(documents[text].cast("string").alias("text"))
     packed = texts.mapInArrow(_postings(partitions(spark)), "bucket int, band binary, key binary")
     shared = stage(packed.groupBy("bucket").applyInArrow(_shared, "token long, ref long"), "shared-bands")
-    wanted = shared.select("ref").distinct()
-    lines = texts.mapInArrow(_wanted_lines(membership(wanted)), "ref long, text string")
-    lines = lines.groupBy("ref").agg(F.first("text").alias("text")).join(wanted, "ref", "left_semi")
-    lines = stage(lines, "candidate-lines")
-    return linked_classes(shared, lines, shingle_sets, PERCENT, lambda a, b: F.lit(True), F.col("ref"))
+
+    def fetch(wanted: DataFrame) -> DataFrame:
+        lines = texts.mapInArrow(_wanted_lines(membership(wanted)), "ref long, text string")
+        lines = lines.groupBy("ref").agg(F.first("text").alias("text")).join(wanted, "ref", "left_semi")
+        return lines.mapInArrow(_measured, "ref long, text string, size long, parity array<long>")
+
+    return linked_classes(Groups(shared, PERCENT, F.col("ref"), fetch), shingle_sets)
 
 
 def _kept_places(documents: DataFrame, doc_id: str, text: str) -> DataFrame:

@@ -7,9 +7,9 @@ A document's set is its distinct ``GRAM``-word shingles. Documents with equal se
 2. Two sets that are similar enough share a shingle among the first few of each (its prefix). The prefixes are
    dealt to buckets by shingle; only shingles that two classes share stay, with the place in the class's order and the
    number of shared ones up to there.
-3. Candidates pass four tests before texts are fetched: length; prefix (the smaller set's place lies in its shorter
-   indexing prefix); position (shared ones so far plus the shorter rest); suffix (counts of the set in ``PIVOTS``
-   hash ranges, whose differences add up to no more than may differ).
+3. Candidates pass these tests before texts are fetched: length; prefix (no place lies beyond what sets of these
+   two sizes may leave out); position (shared ones so far plus the shorter rest); suffix (the least that two sets differ in, by
+   their counts in ``PIVOTS`` hash ranges, and then by the parities of their counts in 1,024 ranges).
 4. Candidates are compared star by star and verified once per pair on whole sets (see ``stars``). The first center
    of a shingle's classes is the one with the fewest unshared shingles: of near copies, the least edited.
 
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from hoopline.llm.blocks import LOWER, SPACES, TextBlock, Words, blocks, gram_hashes, mix
 from hoopline.llm.bloom import may_contain, membership
 from hoopline.llm.frames import partitions, slices, stage
-from hoopline.llm.stars import linked_classes
+from hoopline.llm.stars import Groups, linked_classes, parities
 
 GRAM = 5
 PERCENT = 80
@@ -83,32 +83,34 @@ def _pivot_counts(held: np.ndarray) -> int:
     return int(counts.astype(np.uint8).view(np.int64)[0])
 
 
-def _ids_and_counts(percent: int, size: int):
-    """A row (doc_id, n, ref) per document, then rows (slice, counts) of this task's count table."""
+_FIRST = ["doc_id", "n", "ref", "parity", "slice", "counts"]
+
+
+def _ids_and_counts(size: int):
+    """A row (doc_id, n, ref, parity) per document, then rows (slice, counts) of this task's count table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << SKETCH_BITS, np.int64)
         kind = None
         for batch in slices(batches):
-            ids, n, refs = batch.column(0), [], []
+            ids, n, refs, odd = batch.column(0), [], [], []
             kind = ids.type
             for _, block in blocks(batch.column(1)):
                 sets = shingle_sets(block, size)
                 n += [len(s) for s in sets]
                 refs += [set_reference(s) for s in sets]
+                odd += [parities(s) for s in sets]
                 table += np.bincount(
                     (np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(table)
                 )
+            made = pa.array(n, pa.int64()), pa.array(refs, pa.int64()), pa.array(odd, pa.list_(pa.int64()))
             empty = pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n, pa.int64()), pa.array(refs, pa.int64()), *empty], ["doc_id", "n", "ref", "slice", "counts"]
-            )
+            yield pa.RecordBatch.from_arrays([ids, *made, *empty], _FIRST)
         if kind is not None:
             parts = [zstandard.compress(p.tobytes(), 1) for p in table.reshape(SLICES, -1)]
-            lost = pa.nulls(SLICES, kind), pa.nulls(SLICES, pa.int64()), pa.nulls(SLICES, pa.int64())
+            lost = [pa.nulls(SLICES, k) for k in (kind, pa.int64(), pa.int64(), pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [*lost, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())],
-                ["doc_id", "n", "ref", "slice", "counts"],
+                [*lost, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], _FIRST
             )
 
     return run
@@ -195,6 +197,11 @@ def _shared(group: pa.Table) -> pa.Table:
     )
 
 
+def needed(both: Column, percent: int) -> Column:
+    """How many shingles two sets of ``both`` in all have to share."""
+    return F.ceil(both * percent / (100 + percent))
+
+
 def may_link(a: str, b: str, percent: int) -> Column:
     """The filters on two postings of one shingle, with the columns of ``_SHARED`` and ``shared``."""
     x = {k: F.col(f"{a}.{k}") for k in ("ref", "n", "place", "pivots", "shared")}
@@ -202,11 +209,9 @@ def may_link(a: str, b: str, percent: int) -> Column:
     both = x["n"] + y["n"]
     length = F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * percent
 
-    def indexed(v: dict[str, Column]) -> Column:
-        # of the smaller set only its first n - 2t/(1+t) n + 1 shingles need to be looked at
-        return v["place"] <= v["n"] - F.ceil(v["n"] * 2 * percent / (100 + percent)) + 1
-
-    prefix = ((x["n"] <= y["n"]) & indexed(x)) | ((y["n"] <= x["n"]) & indexed(y))
+    # what is shared lies at the first shared shingle or after it, in both sets
+    shared = needed(both, percent)
+    prefix = (x["place"] <= x["n"] - shared + 1) & (y["place"] <= y["n"] - shared + 1)
     overlap = F.least(x["shared"], y["shared"]) + F.least(x["n"] - x["place"], y["n"] - y["place"])
     position = overlap * (100 + percent) >= both * percent
     differ = reduce(
@@ -239,10 +244,10 @@ class NgramJoin:
         self.rows = documents.select(documents[doc_id].alias("doc_id"), documents[text].cast("string").alias("text"))
         kind = dict(self.rows.dtypes)["doc_id"]
         first = self.rows.mapInArrow(
-            _ids_and_counts(percent, size), f"doc_id {kind}, n long, ref long, slice int, counts binary"
+            _ids_and_counts(size), f"doc_id {kind}, n long, ref long, parity array<long>, slice int, counts binary"
         )
         first = stage(first, "shingle-counts")
-        self.ids = first.filter("slice is null").select("doc_id", "n", "ref")
+        self.ids = first.filter("slice is null").select("doc_id", "n", "ref", "parity")
         ranks = first.filter("slice is not null").select("slice", "counts").groupBy("slice")
         ranks = ranks.applyInArrow(_add_counts, "slice int, ranks binary").collect()
         table = b"".join(bytes(r["ranks"]) for r in sorted(ranks)) or bytes(1 << SKETCH_BITS)
@@ -263,20 +268,23 @@ class NgramJoin:
 
     def run(self) -> DataFrame:
         """(node, root) of every class that is linked with another."""
-        shared = self.shared()
-        wanted = shared.select("ref").distinct()
+        percent, size = self.percent, self.size
+        unshared = F.expr(f"n - cast(ceil(n * {percent} / 100) as int) + 1 - held")
+        details = self.ids.filter(F.col("ref") != _NOTHING).groupBy("ref")
+        groups = Groups(
+            self.shared(), percent, F.struct(unshared, "ref"), self.texts, lambda x, y: may_link(x, y, percent),
+            details.agg(F.first("n").alias("size"), F.first("parity").alias("parity")),
+            F.col("place") <= F.col("n") - needed(F.col("n") + F.greatest("least_n", F.col("n") * percent / 100), percent) + 1,
+        )
+        return linked_classes(groups, lambda block: shingle_sets(block, size))
+
+    def texts(self, wanted: DataFrame) -> DataFrame:
+        """(ref, text) of the wanted classes, a text of each."""
         texts = self.rows.select("text").mapInArrow(
             _with_references(self.size, membership(wanted)), "ref long, text string"
         )
         # combined before the shuffle, so a class of many copies arrives as few rows
-        texts = texts.groupBy("ref").agg(F.first("text").alias("text"))
-        texts = stage(texts.join(wanted, "ref", "left_semi"), "class-texts")
-        percent, size = self.percent, self.size
-        unshared = F.expr(f"n - cast(ceil(n * {percent} / 100) as int) + 1 - held")
-        return linked_classes(
-            shared, texts, lambda block: shingle_sets(block, size), percent,
-            lambda a, b: may_link(a, b, percent), F.struct(unshared, "ref"),
-        )
+        return texts.groupBy("ref").agg(F.first("text").alias("text")).join(wanted, "ref", "left_semi")
 
 
 def near_duplicates(

@@ -54,6 +54,13 @@ def side_rows(wide: DataFrame, metrics: dict[str, str], since: int) -> DataFrame
     )
 
 
+# The statistics of a team's box score, by their names in the team log.
+BOX_COLUMNS = [
+    "MIN", "FGM", "FGA", "FG_PCT", "FG3M", "FG3A", "FG3_PCT", "FTM", "FTA", "FT_PCT", "OREB",
+    "DREB", "REB", "AST", "STL", "BLK", "TOV", "PF",
+]
+
+
 def team_boxscore_features(
     logs: DataFrame, misc: DataFrame, advanced: DataFrame, since: int = 2014
 ) -> DataFrame:
@@ -62,10 +69,6 @@ def team_boxscore_features(
     Game ids are compared without leading zeros. All three inputs meet on (game_id, team_id), so the
     second join reuses the partitioning of the first.
     """
-    box = [
-        "MIN", "FGM", "FGA", "FG_PCT", "FG3M", "FG3A", "FG3_PCT", "FTM", "FTA", "FT_PCT", "OREB",
-        "DREB", "REB", "AST", "STL", "BLK", "TOV", "PF",
-    ]
     keys = ["game_id", "team_id"]
     traditional = logs.filter(season_filter("SEASON_YEAR", since)).select(
         strip_zeros("GAME_ID").alias("game_id"),
@@ -74,13 +77,13 @@ def team_boxscore_features(
         F.col("TEAM").alias("team"),
         F.col("OPPONENT").alias("opp"),
         flag(F.col("WL") == "W").alias("win?"),
-        *[F.col(c).alias(c.lower()) for c in box],
+        *[F.col(c).alias(c.lower()) for c in BOX_COLUMNS],
     )
     joined = traditional.join(side_rows(misc, MISC_METRICS, since), keys, "inner").join(
         side_rows(advanced, ADVANCED_METRICS, since).drop("date"), keys, "inner"
     )
     return joined.select(
-        "game_id", "season", "date", "team", "opp", "win?", *[c.lower() for c in box],
+        "game_id", "season", "date", "team", "opp", "win?", *[c.lower() for c in BOX_COLUMNS],
         *MISC_METRICS, *ADVANCED_METRICS,
     )
 

@@ -247,4 +247,5 @@ class LineReports:
         write_csv(self.underdog_split, f"{folder}/underdog_split")
         write_csv(self.favorite_split, f"{folder}/favorite_split")
         write_csv(self.over_under_splits, f"{folder}/over_under_splits")
+        write_csv(coverage_by_side(self.raw), f"{folder}/coverage_by_side")
         write_csv(self.todays_lines, f"{folder}/todays_lines")

@@ -8,6 +8,8 @@ from hoopline.operators import models as M
 from hoopline.operators import scores as C
 from hoopline.plans import importance
 from hoopline.plans.boxscore import (
+    BOX_COLUMNS,
+    MISC_METRICS,
     NOTEBOOK_FEATURES,
     SCRIPT_FEATURES,
     feature_matrix,
@@ -26,14 +28,11 @@ ALL_SEASONS = 0
 DEPTH = 10
 KEYS = ["game_id", "team"]
 
-_BOX_NAMES = ["min", "fgm", "fga", "fg_pct", "fg3m", "fg3a", "fg3_pct", "ftm", "fta", "ft_pct", "oreb",
-              "dreb", "reb", "ast", "stl", "blk", "tov", "pf"]
-_MISC_NAMES = ["pts_off_turnovers", "second_chance_pts", "fast_break_pts", "paint_pts", "opp_pts_off_turnovers",
-               "opp_second_chance_pts", "opp_fast_break_pts", "opp_paint_pts"]
+_BOX_NAMES = [c.lower() for c in BOX_COLUMNS]
 _FEATURES_CTE = f"""{S.BOX}, boxscores as (
   select tl.bare_id as game_id, "SEASON_YEAR" as season, mm.date, "TEAM" as team, "OPPONENT" as opp,
     case when "WL" = 'W' then 1 else 0 end as "win?",
-    {", ".join(f'"{c.upper()}" as {c}' for c in _BOX_NAMES)}, {", ".join(_MISC_NAMES)}, assist_to_turnover, pace
+    {", ".join(f'"{c.upper()}" as {c}' for c in _BOX_NAMES)}, {", ".join(MISC_METRICS)}, assist_to_turnover, pace
   from team_log tl join misc mm on tl.bare_id = mm.game_id and tl."TEAM_ID" = mm.team_id
   join advanced am on mm.game_id = am.game_id and mm.team_id = am.team_id)"""
 
