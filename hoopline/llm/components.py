@@ -2,8 +2,8 @@
 
 Each task runs union-find over its share of the edges and returns a forest. A node that has several roots, from
 several tasks, ties those roots together; these ties are the edges of the next round. The number of tasks follows
-the number of edges left, at most ``EDGES_PER_TASK`` for each, so the last round is one bounded task, and rounds
-become few as ties are far fewer than edges. What a round finds is written to the shared folder.
+the number of edges left, at most ``EDGES_PER_TASK`` for each; it ends when no node has two roots, and rounds are few
+as ties are far fewer than edges. What a round finds is written to the shared folder.
 """
 
 from __future__ import annotations
@@ -57,11 +57,9 @@ def connected_components(edges: DataFrame, per_task: int = EDGES_PER_TASK) -> Da
     count = edges.count()
     while True:
         tasks = max(1, math.ceil(count / per_task))
-        found = stage(edges.repartition(tasks, "a", "b").mapInArrow(_forests, "node long, root long"), "forest")
+        found = stage(edges.repartition(tasks).mapInArrow(_forests, "node long, root long"), "forest")
         least = found.groupBy("node").agg(F.min("root").alias("root"))
         levels.append(least)
-        if tasks == 1:
-            break
         ties = found.join(least.withColumnRenamed("root", "least"), "node").filter("root <> least")
         edges = stage(ties.select(F.col("least").alias("a"), F.col("root").alias("b")).distinct(), "ties")
         count = edges.count()
