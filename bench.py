@@ -29,6 +29,10 @@ HEADLINE = [
     "q9_team_boxscore_features",
     "m9_anova_f",
     "i2_new_keys",
+    "q4_lineup_strength",
+    "j7_one_table_two_roles",
+    "q6_predictions",
+    "q11_ingest_boxscores",
 ]
 
 

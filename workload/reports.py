@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hoopline.functions.numeric import total
@@ -413,13 +414,21 @@ def m1(spark, sf):
     return spark.createDataFrame(rows, "predictor string, coefficient double")
 
 
+def _with_place(ordered):
+    """Adds each row's place in the order that the sort gave; the ids grow with partition and row."""
+    placed = ordered.withColumn("__id", F.monotonically_increasing_id())
+    return placed.withColumn("place", F.row_number().over(Window.orderBy("__id"))).drop("__id")
+
+
 @query(
     "o1_sorted_desc",
-    "select o_orderkey, o_custkey, cast(o_orderdate as date) as day from orders order by day desc, o_custkey desc",
+    """select o_orderkey, o_custkey, cast(o_orderdate as date) as day,
+  cast(row_number() over (order by cast(o_orderdate as date) desc, o_custkey desc, o_orderkey desc) as int) as place from orders""",
 )
 def o1(spark, sf):
+    """The place is taken from the sorted output, so a wrong order shows."""
     rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"))
-    return sorted_desc(rows, "day", "o_custkey")
+    return _with_place(sorted_desc(rows, "day", "o_custkey", "o_orderkey"))
 
 
 @query("o2_sorted_report", f"select * from ({_SUMMARY}) order by dog_hit_percentage desc nulls last")
