@@ -131,12 +131,16 @@ def entities_of(match: Column) -> Column:
     return F.when(kind == "person", person).when(kind.isNotNull(), F.array(plain)).otherwise(F.slice(F.array(plain), 1, 0))
 
 
+def stream_of(key: str, *values: Column) -> Column:
+    """128 bytes in hexadecimal from SHA-256 of the key, a kind, a value and the attempt."""
+    return F.concat(*[F.sha2(F.concat_ws("\x1f", F.lit(key), *values, F.lit(k)), 256) for k in range(4)])
+
+
 class _Stream:
-    """Bytes from SHA-256 of the key, a kind, a value and the attempt."""
+    """Bytes of a stored stream."""
 
-    def __init__(self, key: str, *values: Column):
-        blocks = [F.sha2(F.concat_ws("\x1f", F.lit(key), *values, F.lit(k)), 256) for k in range(4)]
-        self.hexadecimal = F.concat(*blocks)
+    def __init__(self, hexadecimal: Column):
+        self.hexadecimal = hexadecimal
 
     def byte(self, i: Column) -> Column:
         return F.conv(F.substring(self.hexadecimal, i % 128 * 2 + 1, F.lit(2)), 16, 10).cast("int")
@@ -176,14 +180,27 @@ def _word(stream: _Stream, script: Column, start: int, count: Column) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(1), count), syllable), "")
 
 
-def make_surrogate(key: str, kind: Column, entity: Column, attempt: Column) -> Column:
-    """The surrogate of an entity in its bare form (digits of numbers, lower-case addresses)."""
-    s = _Stream(key, kind, entity, attempt.cast("string"))
-    local, domain = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
-    ending = F.substring_index(domain, ".", -1)
-    host = F.substring(domain, F.lit(1), F.length(domain) - F.length(ending) - 1)
-    # the domain's surrogate does not depend on the attempt, so that equal domains stay equal
-    email = F.concat(s.shaped(local), F.lit("@"), _Stream(key, F.lit("domain"), host).shaped(host), F.lit("."), ending)
+def with_surrogates(entities: DataFrame, key: str, attempt: int) -> DataFrame:
+    """Adds ``surrogate``. The streams are columns of their own, as every character takes a byte of them."""
+    domain = F.substring_index("entity", "@", -1)
+    host = F.substring(domain, F.lit(1), F.length(domain) - F.length(F.substring_index(domain, ".", -1)) - 1)
+    streams = entities.withColumns(
+        {
+            "stream": stream_of(key, F.col("kind"), F.col("entity"), F.lit(str(attempt))),
+            # the domain's surrogate does not depend on the attempt, so that equal domains stay equal
+            "host_stream": F.when(F.col("kind") == "email", stream_of(key, F.lit("domain"), host)),
+            "host": host,
+        }
+    )
+    made = make_surrogate(F.col("kind"), F.col("entity"), F.lit(attempt))
+    return streams.withColumn("surrogate", made).drop("stream", "host_stream", "host")
+
+
+def make_surrogate(kind: Column, entity: Column, attempt: Column) -> Column:
+    """The surrogate of an entity in its bare form (digits of numbers, lower-case addresses), from its streams."""
+    s, host = _Stream(F.col("stream")), F.col("host")
+    local, ending = F.substring_index(entity, "@", 1), F.substring_index(entity, ".", -1)
+    email = F.concat(s.shaped(local), F.lit("@"), _Stream(F.col("host_stream")).shaped(host), F.lit("."), ending)
 
     def number(first: Column, last: Column | None = None) -> Column:
         end = F.length(entity) if last is None else F.length(entity) - 1
@@ -243,7 +260,7 @@ def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
     real = entities.select("kind", F.col("entity").alias("surrogate"))
     open_rows, done = entities, None
     for attempt in range(MAX_ATTEMPTS):
-        made = open_rows.withColumn("surrogate", make_surrogate(key, F.col("kind"), F.col("entity"), F.lit(attempt)))
+        made = with_surrogates(open_rows, key, attempt)
         taken = real if done is None else real.unionByName(done.select("kind", "surrogate"))
         first = made.groupBy("kind", "surrogate").agg(F.min("entity").alias("entity"))
         good = stage(first.join(taken, ["kind", "surrogate"], "left_anti"), "surrogates")
