@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from hoopline.session import staging_root
+from hoopline.session import stage
+
+__all__ = ["BATCH_ROWS", "Columns", "annotate", "partitions", "slices", "stage", "table"]
 
 #: Rows that reach Python in one Arrow batch; long texts make batches of many rows large.
 BATCH_ROWS = 2000
@@ -27,16 +28,6 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the folder that all executors share, and read it back.
-
-    The data then lies in files, so a lost executor costs no work upstream.
-    """
-    path = f"{staging_root(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, BATCH_ROWS):
@@ -67,14 +58,3 @@ def annotate(
             yield pa.RecordBatch.from_arrays(held + new, names=[*keep, *arrow.names])
 
     return picked.mapInArrow(run, out)
-
-
-def keep_rows(df: DataFrame, text: str, fn: Callable[[pa.Array], object]) -> DataFrame:
-    """The rows of ``df``, all columns, for whose text ``fn`` says true."""
-    at = df.columns.index(text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            yield batch.filter(pa.array(fn(batch.column(at)), pa.bool_()))
-
-    return df.mapInArrow(run, df.schema)
