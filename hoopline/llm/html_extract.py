@@ -1,8 +1,11 @@
 """Main text of web pages by tree scoring.
 
 A page is read into a tree that forgives missing and misplaced end tags. Parts that are never article text are left
-out by element, role or the words of class and id: menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles, reader comments, hidden parts. Of what remains, each paragraph passes points for its length and commas to its ancestors: all
+out by element, role or name: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader
+comments, hidden parts. A name counts on containers only, never on headings, paragraphs, list items, cells or inline
+elements, and only if a whole class or id is made of words that name such parts; adverts, reader comments and hidden
+parts then go, parts of the layout go outside ``article`` and ``main``, and others only if they are mostly links or hold no
+paragraph. Ids inside ``article``, ``main`` or the best container do not count. Of what remains, each paragraph passes points for its length and commas to its ancestors: all
 to its container, half to the next, and less to those above. A container's points are discounted by its link
 density. The best container is kept, or the article (else the main part) that it lies in; siblings are kept if
 they are headings, score enough by themselves, or are prose with few links. Lists of nothing but links are menus.
@@ -60,7 +63,7 @@ LEFT_OUT = frozenset("nav header footer aside form head button select option fie
 LEFT_OUT_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split()
 )
-#: Words of class or id that mark parts outside the article.
+#: Words of class or id that name parts outside the article.
 LEFT_OUT_WORDS = frozenset(
     "nav navbar navigation menu submenu breadcrumb breadcrumbs header masthead topbar footer bottom sidebar side aside "
     "notice notices cookie cookies consent gdpr banner alert popup modal overlay toast ad ads advert adverts advertisement "
@@ -68,6 +71,21 @@ LEFT_OUT_WORDS = frozenset(
     "subscription newsletter paywall search comment comments comentarios commentaires kommentare disqus replies reply respond "
     "share sharing social related recommended recommendations pagination pager toc skip widget hidden".split()
 )
+#: Of these, words whose parts are left out wherever they are, and those whose parts are left out around the article.
+SURE_WORDS = frozenset(
+    "ad ads advert adverts advertisement adsense adslot advertorial sponsored comments comentarios commentaires kommentare disqus "
+    "hidden".split()
+)
+LAYOUT_WORDS = frozenset(
+    "nav navbar navigation submenu breadcrumb breadcrumbs header masthead topbar footer sidebar paywall newsletter pagination "
+    "pager".split()
+)
+#: Words that may stand beside one of these in a name; with any other word the name says what a part is about.
+PART_WORDS = frozenset(
+    "area bar block box button buttons container content form global group holder icons inner item items left link links list main "
+    "outer page panel primary right row secondary section site slot top unit wrap wrapper".split()
+)
+SURE, LAYOUT, MAYBE, UNNAMED = 3, 2, 1, 0
 #: Elements whose class and id say what the page is about, not what a part is.
 NEVER_LEFT_OUT = frozenset("html body article main".split())
 
@@ -76,32 +94,51 @@ MIN_SIBLING_SHARE = 0.2
 MIN_SIBLING_CHARS = 80
 MAX_PROSE_LINKS = 0.25
 MAX_MENU_TEXT = 0.1
+MAX_PART_LINKS = 0.33
+MIN_PART_POINTS = 1.0
+MAX_PART_SHARE = 0.5
 
 
 class Tree:
-    """Elements as parallel lists: tag, parent, whether left out; text blocks as (element, text, link characters)."""
+    """Elements as parallel lists: tag, parent, whether left out, what class and id say; text blocks as (element, text,
+    link characters)."""
 
     def __init__(self) -> None:
-        self.tags, self.parents, self.outside = ["#root"], [-1], [False]
+        self.tags, self.parents, self.outside, self.names = ["#root"], [-1], [False], [(UNNAMED, UNNAMED)]
         self.blocks: list[tuple[int, str, int]] = []
 
 
-def _left_out(tag: str, attributes: str) -> bool:
+def _named(tokens: str) -> int:
+    """How surely a class or id names a part outside the article."""
+    said = UNNAMED
+    for token in tokens.split():
+        words = {w for w in re.split(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])", token) if w and not w[0].isdigit()}
+        hits = words & LEFT_OUT_WORDS
+        if hits and words <= LEFT_OUT_WORDS | PART_WORDS:
+            sure, layout = hits & SURE_WORDS, hits & LAYOUT_WORDS or len(hits) > 1
+            said = max(said, SURE if sure else LAYOUT if layout else MAYBE)
+    return said
+
+
+def _left_out(tag: str, attributes: str) -> tuple[bool, tuple[int, int]]:
+    """Whether an element is left out whatever it holds, and what its class and its id say."""
+    unnamed = UNNAMED, UNNAMED
     if tag in LEFT_OUT:
-        return True
+        return True, unnamed
     if not attributes or attributes.isspace():
-        return False
+        return False, unnamed
     values = {k.lower(): html.unescape((v or "").strip("\"'")).lower() for k, v in _ATTRIBUTE.findall(attributes)}
     if "hidden" in values or values.get("aria-hidden") == "true":
-        return True
+        return True, unnamed
     if "display:none" in values.get("style", "").replace(" ", ""):
-        return True
+        return True, unnamed
     if tag in NEVER_LEFT_OUT:
-        return False
+        return False, unnamed
     if values.get("role") in LEFT_OUT_ROLES:
-        return True
-    named = values.get("class", "") + " " + values.get("id", "")
-    return not LEFT_OUT_WORDS.isdisjoint(re.split(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])", named))
+        return True, unnamed
+    if tag in PARAGRAPH or tag not in BLOCK:
+        return False, unnamed
+    return False, (_named(values.get("class", "")), _named(values.get("id", "")))
 
 
 def parse(page: str) -> Tree:
@@ -181,25 +218,63 @@ def parse(page: str) -> Tree:
                     break
         parents.append(stack[-1])
         tags.append(tag)
-        outside.append(outside[stack[-1]] or _left_out(tag, attributes))
+        left_out, names = _left_out(tag, attributes)
+        outside.append(outside[stack[-1]] or left_out)
+        tree.names.append(names)
         stack.append(len(tags) - 1)
         links += tag == "a"
     flush()
     return tree
 
 
+def _value(text: str, link: int) -> float:
+    """The points of a block of text."""
+    size = len(text)
+    value = 1 + text.count(",") + min(size / 100, 3) if size >= MIN_PARAGRAPH else size / 100
+    return value * (1 - link / size)
+
+
+def _dropped(tree: Tree) -> tuple[list[bool], list[bool]]:
+    """Whether each element is left out by name: by classes and ids, and by classes alone."""
+    n, tags, parents = len(tree.tags), tree.tags, tree.parents
+    if all(names == (UNNAMED, UNNAMED) for names in tree.names):
+        return [False] * n, [False] * n
+    value, chars, linked = [0.0] * n, [0] * n, [0] * n
+    for owner, text, link in tree.blocks:
+        value[owner] += _value(text, link)
+        chars[owner] += len(text)
+        linked[owner] += link
+    for e in range(n - 1, 0, -1):
+        for total in (value, chars, linked):
+            total[parents[e]] += total[e]
+    within = [False] * n
+    out: tuple[list[bool], list[bool]] = [False] * n, [False] * n
+    for e in range(1, n):
+        inside = within[e] = within[parents[e]] or tags[e] in ("article", "main")
+        by_class, by_id = tree.names[e]
+        poor = linked[e] > MAX_PART_LINKS * chars[e] or value[e] < MIN_PART_POINTS
+        for drop, said in zip(out, (by_class if inside else max(by_class, by_id), by_class)):
+            gone = said == SURE or said == LAYOUT and not inside or said != UNNAMED and poor
+            # a wrapper of most of the page is named after one of its parts
+            wraps = said != SURE and value[e] > MAX_PART_SHARE * value[0]
+            drop[e] = drop[parents[e]] or gone and not wraps
+    return out
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, joined by an empty line."""
     if not page:
         return ""
     tree = parse(page)
     tags, parents = tree.tags, tree.parents
+    dropped, dropped_within = _dropped(tree)
     n = len(tags)
     points, chars, linked = [0.0] * n, [0] * n, [0] * n
     for owner, text, link in tree.blocks:
+        if dropped[owner]:
+            continue
         size = len(text)
-        value = 1 + text.count(",") + min(size / 100, 3) if size >= MIN_PARAGRAPH else size / 100
-        value *= 1 - link / size
+        value = _value(text, link)
         at, level = parents[owner] if tags[owner] in PARAGRAPH else owner, 0
         while at >= 0:
             points[at] += value / (1 if level == 0 else 2 if level == 1 else 3 * level)
@@ -221,8 +296,8 @@ def main_text(page: str | None) -> str:
         at = parents[at]
     named = [e for e in above if tags[e] == "article"] or [e for e in above if tags[e] == "main"]
     best = named[0] if named else best
-    kept = [False] * n
-    kept[best] = True
+    kept, within = [False] * n, [False] * n
+    kept[best] = within[best] = True
     if not named and parents[best] >= 0:
         enough = max(1.0, MIN_SIBLING_SHARE * score[best])
         for e in range(n):
@@ -230,10 +305,11 @@ def main_text(page: str | None) -> str:
                 prose = tags[e] in PARAGRAPH and chars[e] >= MIN_SIBLING_CHARS and density[e] <= MAX_PROSE_LINKS
                 kept[e] = kept[e] or tags[e] in HEADING or score[e] >= enough or prose
     for e in range(1, n):
+        within[e] = within[e] or within[parents[e]]
         kept[e] = (kept[e] or kept[parents[e]]) and not (
             tags[e] in LISTS and chars[e] and linked[e] and chars[e] - linked[e] <= MAX_MENU_TEXT * chars[e]
         )
-    return "\n\n".join(text for owner, text, _ in tree.blocks if kept[owner])
+    return "\n\n".join(text for owner, text, _ in tree.blocks if kept[owner] and not (dropped_within if within[owner] else dropped)[owner])
 
 
 def _texts(pages: pa.Array) -> Columns:

@@ -172,6 +172,24 @@ def test_best_container_and_siblings():
     assert main_text("<ul><li><a href=1>one</a></ul>") == "" or main_text("<ul><li><a href=1>one</a></ul>") == "one"
 
 
+def test_names_that_say_what_a_part_is_about():
+    prose = "A sentence with enough words, and commas, to be a paragraph of an article."
+    parts = [
+        ("<h2 id=related-work>", "</h2>", "Related work"), ("<h2 id=side-effects class=header>", "</h2>", "Side effects"),
+        ("<h3 id=form-validation>", "</h3>", "Form validation"), ("<section id=search-algorithms><p>", "</section>", prose + " 1"),
+        ("<div class=social-policy><p>", "</div>", prose + " 2"), ("<div id=related><p>", "</div>", prose + " 3"),
+        ("<div><div class=promotion><p>", "</div></div>", prose + " 4"), ("<p class=notice>", "</p>", "Short."),
+        ("<div id=search>", "</div>", "tail"), ("<p>See <span class=ad>", "</span>.", "the spot"),
+    ]
+    expected = "\n\n".join([prose, *(t for _, _, t in parts[:-1]), "See the spot."])
+    inner = f"<p>{prose}</p>" + "".join(a + t + z for a, z, t in parts)
+    others = "<div class=ad>Buy</div><div class='share-buttons'>Share</div><div class=related><ul><li><a href=x>More, and more</a></ul></div>"
+    for tag in ("article", "main", "div id=content"):
+        page = f"<body><div id=sidebar><p>{prose}</p></div><{tag}>{inner}{others}</{tag.split()[0]}><div class=site-footer><p>{prose}</p></div>"
+        assert main_text(page) == expected, tag
+    assert main_text(f"<body><div class='page sidebar-right'><div><p>{prose}</p></div></div>") == prose
+
+
 def rules_of(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
