@@ -7,8 +7,11 @@ elements, and only if a whole class or id is made of words that name such parts;
 parts then go, parts of the layout go outside ``article`` and ``main``, and others only if they are mostly links or hold no
 paragraph. Ids inside ``article``, ``main`` or the best container do not count. Of what remains, each paragraph passes points for its length and commas to its ancestors: all
 to its container, half to the next, and less to those above. A container's points are discounted by its link
-density. The best container is kept, or the article (else the main part) that it lies in; siblings are kept if
-they are headings, score enough by themselves, or are prose with few links. Lists of nothing but links are menus.
+density. The article (else the main part) that the best container lies in is kept. Without either, the best container
+is kept, and what lies beside it and its ancestors, up to the nearest that holds more prose (and on, while that adds
+a fifth or more): headings, parts that score enough by themselves, prose of any element with few links, and what has few
+links and lies between such parts. Outside of these, and in a page without a container, lists of nothing but links are
+menus; within them only lists of page steps (next, last, 1, 2) are.
 
 White space inside a block becomes one space; blocks are joined in page order by an empty line. Nothing else is
 dropped or cut.
@@ -89,6 +92,11 @@ SURE, LAYOUT, MAYBE, UNNAMED = 3, 2, 1, 0
 #: Elements whose class and id say what the page is about, not what a part is.
 NEVER_LEFT_OUT = frozenset("html body article main".split())
 
+#: Labels of links from page to page.
+STEPS = frozenset("next previous prev first last back newer older".split())
+#: These hold the whole page, so they are no container of the article.
+WHOLE = frozenset("#root html body".split())
+
 MIN_PARAGRAPH = 25
 MIN_SIBLING_SHARE = 0.2
 MIN_SIBLING_CHARS = 80
@@ -261,6 +269,64 @@ def _dropped(tree: Tree) -> tuple[list[bool], list[bool]]:
     return out
 
 
+_SENTENCE = re.compile(r"[.!?\u2026\u3002\uff01\uff1f\u0964\u061f][\"'\u201d\u2019\u00bb)\]]*$")
+
+
+def _beside(tree: Tree, above: list[int], score: list[float], dropped: list[bool]) -> tuple[set[int], set[int]]:
+    """What is kept with the best container, the first of ``above``, which lists it and its ancestors: elements to keep
+    with all that they hold, and ancestors of which only the text of their own is kept."""
+    n, tags, parents = len(tree.tags), tree.tags, tree.parents
+    chars, linked, value, ends = [0] * n, [0] * n, [0.0] * n, [False] * n
+    for owner, text, link in tree.blocks:
+        if not dropped[owner]:
+            chars[owner] += len(text)
+            linked[owner] += link
+            value[owner] += _value(text, link)
+            ends[owner] = ends[owner] or bool(_SENTENCE.search(text))
+    own = [(c, k) for c, k in zip(chars, linked)]
+    children: dict[int, list[int]] = {e: [] for e in above}
+    for e in range(n - 1, 0, -1):
+        for total in (chars, linked, value):
+            total[parents[e]] += total[e]
+        ends[parents[e]] = ends[parents[e]] or ends[e]
+        if parents[e] in children:
+            children[parents[e]].insert(0, e)
+
+    def few_links(e: int) -> bool:
+        return linked[e] <= MAX_PROSE_LINKS * chars[e]
+
+    top, held, found = min(1, len(above) - 1), value[above[0]], False
+    for k in range(1, len(above)):
+        others = [value[e] for e in children[above[k]] if e != above[k - 1] and chars[e] and few_links(e) and value[e] >= 1]
+        worth = not found or tags[above[k]] not in WHOLE and sum(others) >= MIN_SIBLING_SHARE * held
+        if others and worth:
+            top, found = k, True
+            held += sum(others)
+
+    enough = max(1.0, MIN_SIBLING_SHARE * score[above[0]])
+    kept, texts = set(), set()
+    for k in range(1, top + 1):
+        at = above[k]
+        parts = [e for e in children[at] if chars[e]]
+        sure = [
+            e == above[k - 1] or tags[e] in HEADING or score[e] >= enough
+            or few_links(e) and (chars[e] >= MIN_SIBLING_CHARS or not linked[e] and ends[e])
+            for e in parts
+        ]
+        if True not in sure:
+            continue
+        first, last = sure.index(True), len(sure) - sure[::-1].index(True)
+        kept |= {e for i, e in enumerate(parts) if e != above[k - 1] and (sure[i] or first < i < last and few_links(e))}
+        if own[at][0] and own[at][1] <= MAX_PROSE_LINKS * own[at][0]:
+            texts.add(at)
+    return kept, texts
+
+
+def _is_menu(texts: list[str]) -> bool:
+    """Whether a list of links leads from page to page."""
+    return all(t.lower().strip(" \u2039\u203a\u00ab\u00bb<>\u2190\u2192") in STEPS or not re.search(r"[^\W\d_]", t) for t in texts)
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, joined by an empty line."""
     if not page:
@@ -298,18 +364,29 @@ def main_text(page: str | None) -> str:
     best = named[0] if named else best
     kept, within = [False] * n, [False] * n
     kept[best] = within[best] = True
-    if not named and parents[best] >= 0:
-        enough = max(1.0, MIN_SIBLING_SHARE * score[best])
-        for e in range(n):
-            if parents[e] == parents[best] and chars[e]:
-                prose = tags[e] in PARAGRAPH and chars[e] >= MIN_SIBLING_CHARS and density[e] <= MAX_PROSE_LINKS
-                kept[e] = kept[e] or tags[e] in HEADING or score[e] >= enough or prose
+    texts: set[int] = set()
+    if not named:
+        beside, texts = _beside(tree, above, score, dropped)
+        for e in beside:
+            kept[e] = True
+    bare = not named and tags[best] in WHOLE
+    labels: dict[int, list[str]] = {}
+    for owner, text, _ in tree.blocks:
+        at = owner
+        while at > 0:
+            if tags[at] in LISTS and linked[at]:
+                labels.setdefault(at, []).append(text)
+            at = parents[at]
     for e in range(1, n):
         within[e] = within[e] or within[parents[e]]
-        kept[e] = (kept[e] or kept[parents[e]]) and not (
-            tags[e] in LISTS and chars[e] and linked[e] and chars[e] - linked[e] <= MAX_MENU_TEXT * chars[e]
-        )
-    return "\n\n".join(text for owner, text, _ in tree.blocks if kept[owner] and not (dropped_within if within[owner] else dropped)[owner])
+        links = tags[e] in LISTS and chars[e] and linked[e] and chars[e] - linked[e] <= MAX_MENU_TEXT * chars[e]
+        # without a container nothing tells a list of links of the article from a menu
+        kept[e] = (kept[e] or kept[parents[e]]) and not (links and (bare or _is_menu(labels[e])))
+    return "\n\n".join(
+        text
+        for owner, text, _ in tree.blocks
+        if (kept[owner] or owner in texts) and not (dropped_within if within[owner] else dropped)[owner]
+    )
 
 
 def _texts(pages: pa.Array) -> Columns:

@@ -190,6 +190,26 @@ def test_names_that_say_what_a_part_is_about():
     assert main_text(f"<body><div class='page sidebar-right'><div><p>{prose}</p></div></div>") == prose
 
 
+def test_pages_without_article_and_main():
+    prose = "A sentence with enough words, and commas, to be a paragraph of an article."
+    p = [f"{prose} {k}." for k in range(9)]
+    block = "<div class=block><div class=inner>{}</div></div>"
+    many = block.format("".join(f"<p>{x}</p>" for x in p[:4]))
+    few = block.format("".join(f"<p>{x}</p>" for x in p[4:6]))
+    one = block.format(f"<p>{p[6]}</p>")
+    menu = "<ul><li><a href=1>Home</a><li><a href=2>About us</a></ul>"
+    assert main_text(f"<body>{menu}<div id=content>{many}{few}</div><div>x</div>") == "\n\n".join(p[:6])
+    deep = f"<body>{menu}<div id=content><section>{many}{few}</section><section>{few}{one}</section></div>"
+    assert main_text(deep) == "\n\n".join([*p[:6], *p[4:7]])
+    beside = f"<div><p>Short prose of its own.</p></div><section>{p[7]}</section><ul><li>{p[8]}</ul><div>Between</div>"
+    page = f"<body><div id=a>{menu}{beside}<div>{''.join(f'<p>{x}</p>' for x in p[:6] * 4)}</div></div>"
+    assert main_text(page) == "\n\n".join(["Short prose of its own.", p[7], p[8], "Between", *p[:6] * 4])
+    sources = "<h2>Sources</h2><ul><li><a href=1>RFC 2616</a><li><a href=2>A paper on menus</a></ul><ul><li><a href=1>1</a><li><a href=2>Next</a></ul>"
+    text = "\n\n".join([*p[:3], "Sources", "RFC 2616", "A paper on menus"])
+    for tag in ("article", "main", "div"):
+        assert main_text(f"<body>{menu}<{tag}>{''.join(f'<p>{x}</p>' for x in p[:3])}{sources}</{tag}>") == text, tag
+
+
 def rules_of(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
