@@ -35,7 +35,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, that with the smallest id."""
+    """Exactly one row of each group of near duplicates stays, of those with the smallest id; rows without words all stay."""
     return drop_near_duplicates(docs)
 
 

@@ -302,11 +302,39 @@ def near_duplicates(
     return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
+def _chosen(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, key, copies) of one row of each component and of all rows with an empty set; ``key`` tells texts of one
+    id apart, ``copies`` is how many rows have this id and this text (1 for empty sets, of which all stay)."""
+    value = documents[text].cast("string")
+    named = documents.select(
+        F.struct(documents[doc_id].alias("doc_id"), F.xxhash64(value).alias("key")).alias("doc_id"), value.alias("text")
+    )
+    join = NgramJoin(named, "doc_id", "text", PERCENT, GRAM)
+    labels = join.run().select(F.col("node").alias("ref"), "root")
+    rows = join.ids.select("doc_id.doc_id", "doc_id.key", "n", "ref")
+    copies = rows.filter("n > 0").groupBy("ref", "doc_id", "key").agg(F.count("*").alias("copies"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ref", "key", "copies")
+    first = copies.groupBy("ref").agg(F.min(order).alias("first")).join(labels, "ref", "left")
+    first = first.groupBy(F.coalesce("root", "ref").alias("class")).agg(F.min("first").alias("first"))
+    empty = rows.filter("n = 0").select("doc_id", "key", F.lit(1).cast("long").alias("copies")).distinct()
+    return stage(first.select("first.doc_id", "first.key", "first.copies").unionByName(empty), "one-of-each")
+
+
 def drop_near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, all columns, without those that are linked with one of a smaller id.
+    """The documents, all columns: exactly one row of each component stays, and every row with an empty set.
 
-    Of rows that share the id kept for a group, all stay; a document without an id that is linked with one goes.
+    The row that stays has the least id (nulls last), then the least set reference and text hash; of rows that have the same
+    id and text, the one whose columns have the least hash. What else has its id plays no part.
     """
-    found = near_duplicates(documents, doc_id, text)
-    kept = found.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return documents.join(kept, documents[doc_id].eqNullSafe(F.col("__kept")), "left_semi")
+    chosen = _chosen(documents, doc_id, text).select(
+        F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("copies").alias("__copies")
+    )
+    same = documents[doc_id].eqNullSafe(F.col("__id")) & (F.xxhash64(documents[text].cast("string")) == F.col("__key"))
+    once = documents.join(chosen.filter("__copies = 1"), same, "left_semi")
+    repeated = chosen.filter("__copies > 1")
+    if repeated.isEmpty():
+        return once
+    row = F.struct(*[documents[c].alias(c) for c in documents.columns])
+    rows = documents.join(repeated, same).select("__id", "__key", row.alias("row"))
+    one = rows.groupBy("__id", "__key").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return once.unionByName(one.select("row.*"))

@@ -69,6 +69,28 @@ def test_drop_keeps_one_of_each(spark):
     assert sorted((r["doc_id"] for r in got.collect()), key=str) == [1, 2, 5, 6, None]
 
 
+def test_drop_keeps_one_row_of_each_group(spark):
+    a, b, x = ([f"{c}{k}" for k in range(60)] for c in "abx")
+    a1, a2, b1, b2, x1, x2 = (" ".join(w + [e]) for w in (a, b, x) for e in ("one", "two"))
+    rows = [
+        (1, a1, "en"), (1, a1, "en"), (1, a1, "fr"), (2, a2, "en"), (None, a2, "en"),  # copies appended, one without an id
+        (3, b2, "en"), (5, b1, "en"), (5, "not like the others", None),  # one id with two texts
+        (None, x1, "en"), (None, x2, "en"), (None, x2, "en"), (None, "alone without an id", "en"),
+        (7, "", None), (7, "", None), (None, None, None), (None, None, None),
+    ]
+    for n in (3, 5):
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(n)
+        got = [tuple(r) for r in drop_near_duplicates(df).collect()]
+        texts = sorted(str(r[:2]) for r in got if r[1] not in (x1, x2))
+        assert texts == sorted(
+            str(r) for r in [
+                (1, a1), (3, b2), (5, "not like the others"), (None, "alone without an id"),
+                (7, ""), (7, ""), (None, None), (None, None),
+            ]
+        )
+        assert [r[0] for r in got if r[1] in (x1, x2)] == [None]
+
+
 def test_no_rows(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
