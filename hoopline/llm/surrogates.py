@@ -10,6 +10,10 @@ security numbers, payment cards (with a valid check digit), secrets behind a key
    key. Digits become digits and letters letters; kept are separators, lengths, domain endings, country digits, private
    address ranges and check digits. Equal e-mail domains stay equal. Names keep script and gender (by the form of address).
 3. Surrogates that equal a real entity or another's surrogate are made again with the next attempt, until all are distinct.
+   Names, local parts of addresses and secrets grow longer with the attempts, so they always end. A closed format (addresses
+   in one private range, numbers of one length and first digit) that still has open entities after ``CLOSED_ATTEMPTS`` is
+   mapped by a keyed permutation of all its values instead: no two surrogates are equal and none is its own entity, but one
+   may be the real value of another entity, as there may be no others left.
 4. Texts with a match are cut at the matches and put together with the surrogates in the mention's own layout. In a
    document with a person, later mentions by surname alone get the same surname. Other texts are passed on as they are.
 
@@ -27,7 +31,11 @@ from pyspark.sql import functions as F
 
 from hoopline.llm.frames import stage
 
-MAX_ATTEMPTS = 40
+#: Attempts before local parts and secrets grow, and before a closed format is permuted.
+SAME_LENGTH_ATTEMPTS = 4
+CLOSED_ATTEMPTS = 8
+CLOSED = ("ip", "phone", "ssn", "card")
+PERMUTATION_ROUNDS = 8
 
 # Patterns, and the fixed words of forms of address and keywords.
 EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
@@ -196,11 +204,113 @@ def with_surrogates(entities: DataFrame, key: str, attempt: int) -> DataFrame:
     return streams.withColumn("surrogate", made).drop("stream", "host_stream", "host")
 
 
+def _fixed_octets(address: Column) -> Column:
+    """How many leading octets say that an address is private; they are kept."""
+    two = address.rlike(r"^(?:192\.168|172\.(?:1[6-9]|2[0-9]|3[01]))\.")
+    return F.when(two, 2).when(address.rlike(r"^(?:10|127)\."), 1).otherwise(0)
+
+
+def closed_format(kind: Column, entity: Column) -> Column:
+    """The closed format that an entity is a value of, with all its surrogates; null for the kinds that can grow."""
+    kept = F.when(kind == "ip", _head(entity))
+    kept = kept.when(kind.isin("phone", "card"), F.concat_ws("/", F.substring(entity, 1, 1), F.length(entity)))
+    return F.when(kind.isin(*CLOSED), F.concat_ws(":", kind, kept))
+
+
+def _head(address: Column) -> Column:
+    fixed = _fixed_octets(address)
+    return F.when(fixed == 2, F.substring_index(address, ".", 2)).when(fixed == 1, F.substring_index(address, ".", 1)).otherwise("")
+
+
+def permuted(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` (kind, entity, format, value) with ``surrogate``, the image of ``value`` in its format under a permutation
+    without fixed points: with Q a keyed Feistel network over pairs of numbers, Q, a shift of the first number, Q undone."""
+    # the format is the entity's, also where ``value`` is an image outside it
+    kind, value, fixed = F.col("kind"), F.col("value"), _fixed_octets(F.col("entity"))
+    octets = F.split(value, r"\.")
+    free = F.when(kind == "ssn", F.length(value)).otherwise(F.length(value) - F.when(kind == "card", 2).otherwise(1)).cast("int")
+    start = F.when(kind == "ssn", 1).otherwise(2)
+    half = F.floor(free / 2).cast("int")
+
+    def number(i: int) -> Column:
+        return octets[i].cast("long")
+
+    ten = F.lit(10).cast("double")
+    ip = kind == "ip"
+    rows = rows.withColumns(
+        {
+            "a_size": F.when(ip, F.when(fixed == 0, 65536).otherwise(256)).otherwise(F.pow(ten, half)).cast("long"),
+            "b_size": F.when(ip, F.when(fixed == 2, 256).otherwise(65536)).otherwise(F.pow(ten, free - half)).cast("long"),
+            "a": F.when(
+                ip, F.when(fixed == 2, number(2)).when(fixed == 1, number(1)).otherwise(number(0) * 256 + number(1))
+            ).otherwise(F.substring(value, start, half).cast("long")),
+            "b": F.when(ip, F.when(fixed == 2, number(3)).otherwise(number(2) * 256 + number(3))).otherwise(
+                F.substring(value, start + half, free - half).cast("long")
+            ),
+        }
+    )
+
+    def drawn(what: Column, turn: Column, size: Column) -> Column:
+        digest = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("permutation"), F.col("format"), turn, what), 256)
+        return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long") % size
+
+    def turned(pair: Column, step: Column) -> Column:
+        turn = F.when(step < PERMUTATION_ROUNDS, step).otherwise(2 * PERMUTATION_ROUNDS - step)
+        sign = F.when(step < PERMUTATION_ROUNDS, 1).otherwise(-1)
+        first = turn % 2 == 1
+        a_size, b_size = F.col("a_size"), F.col("b_size")
+        moved = sign * drawn(
+            F.when(first, pair["b"]).otherwise(pair["a"]), turn, F.when(first, a_size).otherwise(b_size)
+        )
+        # odd, so not 0, and every value of an even size comes before the first again
+        shift = F.floor(drawn(F.lit(""), F.lit("shift"), a_size) / 2).cast("long") * 2 + 1
+        middle = step == PERMUTATION_ROUNDS
+        a = F.when(middle, (pair["a"] + shift) % a_size).when(first, F.pmod(pair["a"] + moved, a_size)).otherwise(pair["a"])
+        b = F.when(middle | first, pair["b"]).otherwise(F.pmod(pair["b"] + moved, b_size))
+        return F.struct(a.alias("a"), b.alias("b"))
+
+    def written(pair: Column) -> Column:
+        a, b = pair["a"], pair["b"]
+        low = [F.floor(b / 256).cast("string"), (b % 256).cast("string")]
+        address = (
+            F.when(fixed == 2, F.concat_ws(".", octets[0], octets[1], a.cast("string"), b.cast("string")))
+            .when(fixed == 1, F.concat_ws(".", octets[0], a.cast("string"), *low))
+            .otherwise(F.concat_ws(".", F.floor(a / 256).cast("string"), (a % 256).cast("string"), *low))
+        )
+        first = F.when(kind == "ssn", "").otherwise(F.substring(value, 1, 1))
+        digits = F.concat(first, F.lpad(a.cast("string"), half, F.lit("0")), F.lpad(b.cast("string"), free - half, F.lit("0")))
+        check = ((10 - luhn_sum(F.concat(digits, F.lit("0"))) % 10) % 10).cast("string")
+        return F.when(ip, address).when(kind == "card", F.concat(digits, check)).otherwise(digits)
+
+    steps = F.sequence(F.lit(0), F.lit(2 * PERMUTATION_ROUNDS))
+    pair = F.aggregate(steps, F.struct(F.col("a").alias("a"), F.col("b").alias("b")), turned)
+    # bound to a variable, so that it is made once
+    return rows.select("kind", "entity", "format", F.transform(F.array(pair), written)[0].alias("surrogate"))
+
+
+def permuted_surrogates(entities: DataFrame, key: str) -> DataFrame:
+    """(kind, entity, surrogate) of entities of closed formats by permutation. An image of another format (a private address
+    for a public one) is mapped again, until it is one of its own; images stay distinct so."""
+    rows, done = entities.withColumn("format", closed_format(F.col("kind"), F.col("entity"))).withColumn("value", F.col("entity")), None
+    while True:
+        made = stage(permuted(rows.select("kind", "entity", "format", "value"), key), "permuted")
+        fits = closed_format(F.col("kind"), F.col("surrogate")) == F.col("format")
+        good = made.filter(fits).select("kind", "entity", "surrogate")
+        done = good if done is None else done.unionByName(good)
+        rows = made.filter(~fits).withColumnRenamed("surrogate", "value")
+        if rows.isEmpty():
+            return done
+
+
 def make_surrogate(kind: Column, entity: Column, attempt: Column) -> Column:
     """The surrogate of an entity in its bare form (digits of numbers, lower-case addresses), from its streams."""
     s, host = _Stream(F.col("stream")), F.col("host")
     local, ending = F.substring_index(entity, "@", 1), F.substring_index(entity, ".", -1)
-    email = F.concat(s.shaped(local), F.lit("@"), _Stream(F.col("host_stream")).shaped(host), F.lit("."), ending)
+    # later attempts have four letters more each
+    more = F.greatest(attempt - SAME_LENGTH_ATTEMPTS + 1, F.lit(0)) * 4
+    letters = F.transform(F.sequence(F.lit(1), F.greatest(more, F.lit(1))), lambda i: F.char(s.byte(F.length(entity) + i) % 26 + 97))
+    longer = F.when(more > 0, F.array_join(letters, "")).otherwise("")
+    email = F.concat(s.shaped(local), longer, F.lit("@"), _Stream(F.col("host_stream")).shaped(host), F.lit("."), ending)
 
     def number(first: Column, last: Column | None = None) -> Column:
         end = F.length(entity) if last is None else F.length(entity) - 1
@@ -211,8 +321,7 @@ def make_surrogate(kind: Column, entity: Column, attempt: Column) -> Column:
     card = F.concat(body, ((10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string"))
     ssn = number((s.byte(F.lit(1)) % 5 + 1).cast("string"))
 
-    octets = F.split(entity, r"\.")
-    fixed = F.when(entity.rlike(r"^(?:192\.168|172\.(?:1[6-9]|2[0-9]|3[01]))\."), 2).when(entity.rlike(r"^(?:10|127)\."), 1).otherwise(0)
+    octets, fixed = F.split(entity, r"\."), _fixed_octets(entity)
     made = [F.when(fixed > i, octets[i]).otherwise(((s.byte(F.lit(i)) % (116 if i == 0 else 254)) + (11 if i == 0 else 1)).cast("string")) for i in range(4)]
 
     size = F.sequence(F.lit(1), F.length(entity))
@@ -235,7 +344,7 @@ def make_surrogate(kind: Column, entity: Column, attempt: Column) -> Column:
         .when(kind == "phone", number(F.substring(entity, 1, 1)))
         .when(kind == "ssn", ssn)
         .when(kind == "card", card)
-        .when(kind == "secret", secret)
+        .when(kind == "secret", F.concat(secret, longer))
         .when(kind == "surname", surname)
         .otherwise(given)
     )
@@ -259,16 +368,29 @@ def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
     entities = stage(entities.select("kind", "entity").distinct(), "entities")
     real = entities.select("kind", F.col("entity").alias("surrogate"))
     open_rows, done = entities, None
-    for attempt in range(MAX_ATTEMPTS):
+    attempt, permuted_ones = 0, None
+    while True:
         made = with_surrogates(open_rows, key, attempt)
         taken = real if done is None else real.unionByName(done.select("kind", "surrogate"))
         first = made.groupBy("kind", "surrogate").agg(F.min("entity").alias("entity"))
         good = stage(first.join(taken, ["kind", "surrogate"], "left_anti"), "surrogates")
         done = good if done is None else done.unionByName(good)
         open_rows = stage(open_rows.join(good, ["kind", "entity"], "left_anti"), "collided")
+        attempt += 1
         if open_rows.isEmpty():
-            return done.select("kind", "entity", "surrogate")
-    raise RuntimeError("there are more entities of a kind than surrogates of its format")
+            break
+        if attempt == CLOSED_ATTEMPTS:
+            named = closed_format(F.col("kind"), F.col("entity"))
+            full = stage(open_rows.select(named.alias("full")).filter("full is not null").distinct(), "full-formats")
+            if not full.isEmpty():
+                # all entities of such a format, with those that had a surrogate
+                permuted_ones = permuted_surrogates(entities.join(full, named == F.col("full"), "left_semi"), key)
+                done = done.join(full, named == F.col("full"), "left_anti")
+                open_rows = open_rows.filter(named.isNull())
+                if open_rows.isEmpty():
+                    break
+    done = done.select("kind", "entity", "surrogate")
+    return done if permuted_ones is None else done.unionByName(permuted_ones)
 
 
 def replace_personal_data(documents: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -3,7 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from hoopline.llm.surrogates import KINDS, distinct_surrogates, luhn_sum, replace_personal_data
+from hoopline.llm.surrogates import KINDS, distinct_surrogates, luhn_sum, permuted_surrogates, replace_personal_data
 
 CARD = "4539578763621486"
 TEXTS = [
@@ -79,6 +79,30 @@ def test_surrogates_are_distinct(spark):
     assert not {(r["kind"], r["surrogate"]) for r in got} & {(r["kind"], r["entity"]) for r in got}
 
 
+def test_formats_with_few_values(spark):
+    entities = [("email", f"{chr(97 + k)}@x.org") for k in range(26)]
+    entities += [("ip", f"192.168.{k % 256}.{k // 256}") for k in range(65536)] + [("ip", "8.8.8.8"), ("ip", "10.0.0.1")]
+    df = spark.createDataFrame(entities, "kind string, entity string")
+    got = {(r["kind"], r["entity"]): r["surrogate"] for r in distinct_surrogates(df, "k").collect()}
+    assert set(got) == set(entities) and len({(k, v) for (k, _), v in got.items()}) == len(entities)
+    assert all(v != e for (_, e), v in got.items())
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.org", got["email", e]) for k, e in entities if k == "email")
+    assert all(v.startswith("192.168.") for (_, e), v in got.items() if e.startswith("192.168."))
+
+
+def test_permutation_of_closed_formats(spark):
+    rows = [("ssn", f"{k:09d}") for k in range(0, 10**9, 1234567)] + [("phone", f"1{k:06d}") for k in range(0, 10**6, 1009)]
+    rows += [("card", CARD), ("card", "4000000000000002")] + [("ip", f"{k}.{k * 7 % 256}.3.9") for k in range(1, 256)]
+    df = spark.createDataFrame(rows, "kind string, entity string")
+    got = {(r["kind"], r["entity"]): r["surrogate"] for r in permuted_surrogates(df, "k").collect()}
+    assert set(got) == set(rows) and len({(k, v) for (k, _), v in got.items()}) == len(rows)
+    for (kind, entity), v in got.items():
+        assert v != entity and (kind == "ip" or len(v) == len(entity))
+        assert kind != "phone" or v[0] == "1"
+        assert kind != "card" or luhn(v) and v[0] == "4"
+        assert kind != "ip" or v.startswith(("10.", "127.")) == entity.startswith(("10.", "127."))
+
+
 def test_no_rows(spark):
     assert replace_personal_data(spark.createDataFrame([], "doc_id long, text string"), "k").collect() == []
 
