@@ -12,9 +12,11 @@ from hoopline.llm.frames import table
 from hoopline.llm.html_extract import extract_pages
 from hoopline.llm.language_id import fit_languages, identify_languages
 from hoopline.llm.line_dedup import deduplicated_lines
+from hoopline.llm.merkle import manifest
 from hoopline.llm.ngram_join import near_duplicates
 from hoopline.llm.pieces import piece_digests
 from hoopline.llm.repetition import quality_rules
+from hoopline.llm.sharding import assign_shards
 from hoopline.llm.suffix_dedup import suffix_dedup
 from hoopline.llm.surrogates import replace_personal_data
 from hoopline.llm.warc import archive_round_trip
@@ -211,3 +213,17 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The key is the session's ``spark.hoopline.surrogateKey``; set a secret one in production."""
     key = spark.conf.get("spark.hoopline.surrogateKey", "no secret key is set")
     return replace_personal_data(table(spark, sf_dir, "documents"), key)
+
+
+@query("op12_merkle_manifest")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
+#: Shards of the dataset.
+SHARDS = 24
+
+
+@query("op13_sharding")
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(table(spark, sf_dir, "documents"), SHARDS)
