@@ -16,6 +16,7 @@ from hoopline.llm.merkle import manifest
 from hoopline.llm.ngram_join import near_duplicates
 from hoopline.llm.pieces import piece_digests
 from hoopline.llm.repetition import quality_rules
+from hoopline.llm.search import ranked_search
 from hoopline.llm.sharding import assign_shards
 from hoopline.llm.suffix_dedup import suffix_dedup
 from hoopline.llm.surrogates import replace_personal_data
@@ -215,6 +216,46 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_personal_data(table(spark, sf_dir, "documents"), key)
 
 
+_TERMS = r"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+def _terms(text: str) -> str:
+    return _TERMS.format(lower=_LOWER.format(text=f"coalesce({text}, '')"))
+
+
+@query(
+    "op11_ranked_search",
+    f"""
+    with d as (select doc_id, row_number() over () as r, {_terms("text")} as t from documents),
+    stats as (select count(*)::bigint as big_n, sum(len(t))::bigint as big_l from d where len(t) > 0),
+    tf as (
+        select r, doc_id, n, term, count(*)::bigint as tf
+        from (select r, doc_id, len(t)::bigint as n, unnest(t) as term from d) group by all
+    ),
+    df as (select term, count(*)::bigint as df from tf group by term),
+    q as (
+        select item_id, text, unnest({_terms("text")}) as term from (select distinct item_id, text from benchmark)
+    ),
+    scores as (
+        select q.item_id, q.text, tf.r, tf.doc_id,
+            sum(floor(1000 * ln((2.0 * big_n + 2) / (2.0 * df + 1)))::bigint
+                * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (25 + (75 * tf.n * big_n) // big_l))))::bigint as score
+        from q join tf using (term) join df using (term), stats
+        group by all
+    )
+    select item_id::bigint as item_id, rank::int as rank, doc_id::bigint as doc_id, score
+    from (
+        select *, row_number() over (partition by item_id, text order by score desc, doc_id asc nulls first, r) as rank
+        from scores where score > 0
+    )
+    where rank <= 10
+    """,
+)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item is a query against all documents."""
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op12_merkle_manifest")
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"))
