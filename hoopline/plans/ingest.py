@@ -7,16 +7,21 @@ about it (season, period, game date). Each job is shape -> keep what is new -> a
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hoopline.functions import text
+from hoopline.operators.diff import snapshot_diff, status_counts
+from hoopline.session import stage
 from hoopline.operators.ingest import new_keys, season_id_filter, since_mark
 from hoopline.operators.joins import join_renamed, lookup_name
 from hoopline.operators.selection import members
 from hoopline.sources.payloads import (
+    Landed,
+    read_landed,
     explode_player_boxscore,
     flatten_result_set,
     flatten_team_boxscore,
@@ -215,3 +220,68 @@ def ingest_players(payloads: DataFrame, columns: T.StructType, root: str) -> str
 def restore_table(backup: DataFrame, root: str, schema: str, table: str) -> str:
     """Replace a table by a backup read with ``read_csv``."""
     return write_table(backup, root, schema, table, "replace")
+
+
+@dataclass
+class LinesLoad:
+    """What a load of lines did: the table's path, its counts, and the per-key changes (none on a first load)."""
+
+    path: str
+    counts: dict[str, int]
+    changes: DataFrame | None
+    rejects: DataFrame
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def ingest_lines(spark: SparkSession, landed_path: str, columns: T.StructType, root: str) -> LinesLoad:
+    """Replace ``general.lines`` by a landed snapshot of all lines, writing only what changed.
+
+    The landing (newline-delimited JSON) is parsed with rejects kept apart (``general.lines_rejects``, appended with
+    their file). Exact duplicate records count once. The result equals a full replacement by the landing: the
+    snapshot is compared with the stored table by ``game_id`` and row hash (``snapshot_diff``), and only season
+    partitions holding a new, changed or vanished row are rewritten (dynamic partition overwrite); a season left
+    without rows is deleted. Counts (landed, rejected, rows, new, changed, equal, vanished, seasons written and
+    removed) come from ``observe`` on passes that run anyway.
+    """
+    from hoopline.plans.lines import with_underdog
+
+    landed: Landed = read_landed(spark, landed_path, columns)
+    write_table(landed.rejects.withColumn("landing", F.lit(landed_path)), root, "general", "lines_rejects", "append")
+    shaped = with_underdog(landed.rows.dropDuplicates()).withColumn("season", F.substring("game_date", 1, 4))
+    compared = [c for c in shaped.columns if c != "season"]
+    path = table_path(root, "general", "lines")
+    counts = dict(landed.counts)
+    if not table_exists(spark, root, "general", "lines"):
+        seen = Observation("first lines")
+        write_table(shaped.observe(seen, F.count(F.lit(1)).alias("new")), root, "general", "lines", "fail", ["season"])
+        counts |= {"new": int(seen.get["new"]), "changed": 0, "equal": 0, "vanished": 0}
+        counts["seasons_written"] = shaped.select("season").distinct().count()
+        counts["seasons_removed"] = 0
+        return LinesLoad(path, counts, None, landed.rejects)
+    stored = spark.read.schema(shaped.schema).parquet(path)  # season stays text, as written
+    seen = Observation("lines diff")
+    changes = stage(
+        snapshot_diff(shaped, stored, ["game_id"], compared, "season").observe(seen, *status_counts(F.col("status"))),
+        "lines-diff",
+    )
+    counts |= {k: int(v) for k, v in seen.get.items()}
+    touched = stage(
+        changes.where(F.col("status") != "equal")
+        .select(F.explode(F.array_union("landed_parts", "stored_parts")).alias("season"))
+        .distinct(),
+        "lines-seasons",
+    )
+    rewritten = shaped.join(touched, "season", "left_semi")
+    reload_partition(rewritten, path, "season")
+    # One row per season: a bounded list.
+    emptied = [r.season for r in touched.join(shaped.select("season").distinct(), "season", "left_anti").collect()]
+    for season in emptied:
+        _delete(spark, f"{path}/season={season}")
+    counts["seasons_written"] = touched.count() - len(emptied)
+    counts["seasons_removed"] = len(emptied)
+    return LinesLoad(path, counts, changes, landed.rejects)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hoopline.session import stage
+
 RESULT_SETS = T.StructType(
     [
         T.StructField(
@@ -30,6 +34,45 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+#: The column that holds a line that did not parse.
+CORRUPT = "_corrupt_record"
+
+
+@dataclass
+class Landed:
+    """Parsed rows, the lines that did not parse (with their file), and counts of both."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+
+def read_landed(spark: SparkSession, path: str, schema: T.StructType) -> Landed:
+    """Newline-delimited JSON records as typed rows, and every line that does not parse as a reject.
+
+    A line that is no JSON object, or whose value does not fit its declared type, is a reject as a whole; blank
+    lines are no records. The parse is stored once, and ``observe`` counts lines and rejects in that same pass,
+    so ``rows + rejected == landed`` holds by construction and nothing is lost without a trace.
+    """
+    declared = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = (
+        spark.read.schema(declared)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .json(path)
+        .withColumn("landed_file", F.col("_metadata.file_path"))
+    )
+    seen = Observation("landed")
+    held = stage(
+        parsed.observe(seen, F.count(F.lit(1)).alias("landed"), F.count(CORRUPT).alias("rejected")), "landed"
+    )
+    counts = {k: int(v) for k, v in seen.get.items()}
+    counts["rows"] = counts["landed"] - counts["rejected"]
+    rows = held.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "landed_file")
+    rejects = held.where(F.col(CORRUPT).isNotNull()).select("landed_file", F.col(CORRUPT).alias("record"))
+    return Landed(rows, rejects, counts)
+
+
 def read_records(
     spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from hoopline.session import staging_root
 from hoopline.sources import html, payloads, tables
 from workload import sql as S
 from workload.registry import query
-from workload.views import games, player_logs, table
+from workload.views import games, player_logs, raw_lines, table
 
 
 def _folder(spark):
@@ -430,3 +430,89 @@ def q11_players(spark, sf):
         ]
     )
     return spark.read.parquet(ingest.ingest_players(landed, columns, _folder(spark)))
+
+
+# Two landings of all lines. The earlier one lacks some games (new later), prices others differently (changed
+# later) and has games that the later one drops (vanished); both carry broken records besides all real ones.
+LINE_ORDER = [
+    "game_id", "game_date", "home_team_abbrev", "visit_team_abbrev", "favorite", "underdog", "line", "spread",
+    "game_over_under", "total", "home_team_score", "visit_team_score", "favorite_covered", "underdog_covered",
+    "over_hit", "under_hit",
+]
+
+
+def _land_lines(spark, sf, folder, earlier):
+    raw = raw_lines(spark, sf)
+    key = F.expr("try_cast(game_id as bigint)")
+    if earlier:
+        dropped = raw_lines(spark, sf).where(key % 13 == 0).withColumn("game_id", F.concat(F.lit("V"), "game_id"))
+        raw = (
+            raw.where(key % 11 != 0)
+            .withColumn("spread", F.when(key % 7 == 0, F.col("spread") + 1).otherwise(F.col("spread")))
+            .unionByName(dropped)
+        )
+    record = F.to_json(F.struct(*raw.columns))
+    broken = raw.where(key % 17 == 0).select(F.substring(record, 1, 25).alias("value"))
+    path = f"{folder}/landing-{'earlier' if earlier else 'later'}"
+    raw.select(record.alias("value")).unionByName(broken).write.text(path)
+    return path
+
+
+def _two_line_loads(spark, sf):
+    folder = _folder(spark)
+    columns = raw_lines(spark, sf).schema
+    first = ingest.ingest_lines(spark, _land_lines(spark, sf, folder, True), columns, folder)
+    second = ingest.ingest_lines(spark, _land_lines(spark, sf, folder, False), columns, folder)
+    return first, second
+
+
+_EARLIER = """earlier as (
+  select * replace (case when cast(game_id as bigint) % 7 = 0 then spread + 1 else spread end as spread)
+  from lines where cast(game_id as bigint) % 11 <> 0
+  union all select * replace ('V' || game_id as game_id) from lines where cast(game_id as bigint) % 13 = 0)"""
+_SAME = " and ".join(f"e.{c} is not distinct from l.{c}" for c in LINE_ORDER)
+
+
+@query("q11_ingest_lines", f"with {S.LINES} select {', '.join(LINE_ORDER)} from lines")
+def q11_lines(spark, sf):
+    """The stored lines after two landings: the same as replacing the table by the later one."""
+    _, second = _two_line_loads(spark, sf)
+    return spark.read.parquet(second.path).select(*LINE_ORDER)
+
+
+@query(
+    "q11_lines_changes",
+    f"""with {S.LINES}, {_EARLIER}
+select coalesce(l.game_id, e.game_id) as game_id,
+  case when e.game_id is null then 'new' when l.game_id is null then 'vanished' when {_SAME} then 'equal' else 'changed' end as status
+from earlier e full outer join lines l on e.game_id = l.game_id""",
+)
+def q11_lines_changes(spark, sf):
+    """Per game: what the later landing did to the stored lines."""
+    _, second = _two_line_loads(spark, sf)
+    return second.changes.select("game_id", "status")
+
+
+@query(
+    "q11_lines_counts",
+    f"""with {S.LINES}, {_EARLIER},
+later as (select * from lines),
+counted as (
+  select 'first' as load, (select count(*) from earlier) as rows,
+    (select count(*) from earlier where try_cast(game_id as bigint) % 17 = 0) as rejected,
+    (select count(*) from earlier) as new, 0 as changed, 0 as equal, 0 as vanished
+  union all
+  select 'second', (select count(*) from later), (select count(*) from later where cast(game_id as bigint) % 17 = 0),
+    (select count(*) from later l where cast(game_id as bigint) % 11 = 0),
+    (select count(*) from later where cast(game_id as bigint) % 11 <> 0 and cast(game_id as bigint) % 7 = 0),
+    (select count(*) from later where cast(game_id as bigint) % 11 <> 0 and cast(game_id as bigint) % 7 <> 0),
+    (select count(*) from lines where cast(game_id as bigint) % 13 = 0))
+select load, (rows + rejected)::bigint as landed, rejected::bigint as rejected, rows::bigint as rows, new::bigint as new,
+  changed::bigint as changed, equal::bigint as equal, vanished::bigint as vanished from counted""",
+)
+def q11_lines_counts(spark, sf):
+    """Counts of both loads: landed lines = rows + rejects; every row new, changed, equal or vanished."""
+    first, second = _two_line_loads(spark, sf)
+    names = ["landed", "rejected", "rows", "new", "changed", "equal", "vanished"]
+    rows = [(label, *[int(load.counts[n]) for n in names]) for label, load in (("first", first), ("second", second))]
+    return spark.createDataFrame(rows, "load string, " + ", ".join(f"{n} bigint" for n in names))
