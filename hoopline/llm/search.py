@@ -50,17 +50,45 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(lower, F.lit(TERM), 0)
 
 
-def postings(docs: DataFrame) -> DataFrame:
-    """(rid, doc_id, n, term, tf) per document row and distinct term, stored."""
-    counted = (
+class _Scratch:
+    """Tables stored for one run, each deleted as soon as nothing later reads it."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.paths: dict[int, str] = {}
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        held = stage(df, label)
+        self.paths[id(held)] = held.inputFiles()[0].rsplit("/", 1)[0] if held.inputFiles() else ""
+        return held
+
+    def drop(self, *held: DataFrame) -> None:
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for df in held:
+            if path := self.paths.pop(id(df), ""):
+                target = jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(conf).delete(target, True)
+
+
+def corpus_sizes(docs: DataFrame) -> tuple[int, int]:
+    """N (documents with a term) and L (all their terms), in one pass without a shuffle."""
+    n = F.size(terms(docs["text"]))
+    row = docs.agg(F.count(F.when(n > 0, 1)), F.sum(n)).first()
+    return int(row[0] or 0), int(row[1] or 0)
+
+
+def postings(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rid, doc_id, n, term, tf) per document row and wanted term; other terms are dropped before the shuffle."""
+    return (
         docs.select(
             F.monotonically_increasing_id().alias("rid"), docs["doc_id"].cast("long").alias("doc_id"), terms(docs["text"]).alias("t")
         )
         .select("rid", "doc_id", F.size("t").cast("long").alias("n"), F.explode("t").alias("term"))
+        .join(wanted, "term", "left_semi")
         .groupBy("rid", "doc_id", "n", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    return stage(counted, "search-postings")
 
 
 def query_terms(items: DataFrame) -> DataFrame:
@@ -78,16 +106,19 @@ def query_terms(items: DataFrame) -> DataFrame:
     )
 
 
-def impacts(post: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Postings of the wanted terms with their impacts, numbered within each term in reading order; stored."""
-    stats = post.agg(F.sum("tf").alias("L"), F.countDistinct("rid").alias("N")).first()
-    big_l, big_n = int(stats["L"] or 0), int(stats["N"] or 0)
-    kept = post.join(wanted, "term", "left_semi")
-    df = kept.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+def impacts(docs: DataFrame, wanted: DataFrame, scratch: _Scratch) -> DataFrame | None:
+    """Postings of the wanted terms with their impacts, numbered within each term in reading order; stored.
+
+    Positions: one range-partitioned sort on (term, impact descending, doc_id, row) over ``ROWS_PER_TASK``-row
+    blocks, a count per (term, block), and running offsets; a common term spans many blocks.
+    """
+    big_n, big_l = corpus_sizes(docs)
+    post = scratch.keep(postings(docs, wanted), "search-postings")
+    df = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     w = F.floor(F.lit(1000.0) * F.log((F.lit(2.0 * big_n + 2)) / (F.lit(2.0) * F.col("df") + F.lit(1.0)))).cast("long")
     m = F.lit(25) + F.expr(f"(75L * n * {big_n}L) div {max(big_l, 1)}L")
     scored = (
-        kept.join(df.select("term", w.alias("w")), "term")
+        post.join(df.select("term", w.alias("w")), "term")
         .withColumn("__m", m)
         .select(
             "term",
@@ -95,12 +126,31 @@ def impacts(post: DataFrame, wanted: DataFrame) -> DataFrame:
             "doc_id",
             (F.col("w") * F.expr("(1000000000L * tf) div (1000L * tf + 8L * __m)")).alias("impact"),
         )
-    ).withColumn("__order", -F.col("impact"))
-    total = scored.count()
+    )
+    total = post.count()
     if total == 0:
+        scratch.drop(post)
         return None
-    numbered = with_positions(scored.withColumn("__doc", F.coalesce("doc_id", F.lit(_SMALLEST))), ["term"], ["__order", "__doc", "rid"], total, ROWS_PER_TASK)
-    return stage(numbered.select("term", "rid", "doc_id", "impact", F.col("__rn").alias("pos")), "search-impacts")
+    order = [F.col("term"), F.col("impact").desc(), F.coalesce("doc_id", F.lit(_SMALLEST)), F.col("rid")]
+    ranged = scratch.keep(
+        scored.repartitionByRange(max(1, -(-total // ROWS_PER_TASK)), *order).withColumn("block", F.spark_partition_id()),
+        "search-ranged",
+    )
+    scratch.drop(post)
+    starts = (
+        ranged.groupBy("term", "block")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("start", F.coalesce(F.sum("rows").over(
+            Window.partitionBy("term").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    )
+    here = Window.partitionBy("term", "block").orderBy(*order[1:])
+    numbered = scratch.keep(
+        ranged.join(starts.select("term", "block", "start"), ["term", "block"])
+        .select("term", "rid", "doc_id", "impact", (F.col("start") + F.row_number().over(here) - 1).alias("pos")),
+        "search-impacts",
+    )
+    scratch.drop(ranged)
+    return numbered
 
 
 def _order_key() -> list[Column]:
@@ -112,8 +162,8 @@ def ranked_search(docs: DataFrame, items: DataFrame, k: int = TOP_K) -> DataFram
     spark = docs.sparkSession
     empty = spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     qt = stage(query_terms(items), "search-query-terms")
-    post = postings(docs)
-    scored = impacts(post, qt.select("term").distinct())
+    scratch = _Scratch(spark)
+    scored = impacts(docs, qt.select("term").distinct(), scratch)
     if scored is None:
         return empty
     lengths = stage(scored.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "search-lengths")
@@ -130,7 +180,13 @@ def ranked_search(docs: DataFrame, items: DataFrame, k: int = TOP_K) -> DataFram
             .join(scored.where((F.col("pos") >= lo) & (F.col("pos") < hi)), "term")
             .select("qid", "rid", "doc_id", "term", (F.col("q") * F.col("impact")).alias("c"))
         )
-        seen = stage(read if seen is None else seen.join(live.select("qid").distinct(), "qid", "left_semi").unionByName(read), f"search-seen-{rnd}")
+        before = seen
+        seen = scratch.keep(
+            read if seen is None else seen.join(live.select("qid").distinct(), "qid", "left_semi").unionByName(read),
+            f"search-seen-{rnd}",
+        )
+        if before is not None:
+            scratch.drop(before)
         # Head of each live term's unread list; a list read to its end has nothing left.
         heads = scored.where(F.col("pos") == hi).select("term", F.col("impact").alias("head"))
         qhead = live.join(heads, "term", "left").select("qid", "term", (F.col("q") * F.coalesce("head", F.lit(0))).alias("qh"))
@@ -142,7 +198,7 @@ def ranked_search(docs: DataFrame, items: DataFrame, k: int = TOP_K) -> DataFram
             .join(unseen, "qid")
             .withColumn("upper", F.col("lower") + F.col("unseen") - F.col("heads_seen"))
         )
-        cand = stage(cand, f"search-candidates-{rnd}")
+        cand = scratch.keep(cand, f"search-candidates-{rnd}")
         rn = F.row_number().over(Window.partitionBy("qid").orderBy(*_order_key()))
         top = cand.withColumn("rank", rn).where(F.col("rank") <= k)
         top = stage(top, f"search-top-{rnd}")
@@ -193,6 +249,7 @@ def ranked_search(docs: DataFrame, items: DataFrame, k: int = TOP_K) -> DataFram
             .select("qid", F.col("rank").cast("int").alias("rank"), F.col("doc_id"), F.col("lower").alias("score"))
         )
         live = live.join(settled, "qid", "left_anti")
+        scratch.drop(cand)
         lo, hi, rnd = hi, hi * 2, rnd + 1
     if not done:
         return empty
