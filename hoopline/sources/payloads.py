@@ -95,6 +95,10 @@ def flatten_result_set(
     is absent gives null, and so does a value that does not cast.
     """
     parsed = df.select(*keep, F.from_json(payload, RESULT_SETS)["resultSets"][index].alias("__set"))
+    return _set_rows(parsed, schema, keep)
+
+
+def _set_rows(parsed: DataFrame, schema: T.StructType, keep) -> DataFrame:
     rows = parsed.select(
         *keep, F.col("__set.headers").alias("__headers"), F.explode("__set.rowSet").alias("__row")
     )
@@ -107,6 +111,44 @@ def flatten_result_set(
     return rows.select(*keep, *[value(f) for f in schema.fields])
 
 
+def parse_documents(
+    df: DataFrame, payload: str, schema: T.StructType, checks: list[tuple[str, Column]] = (), keep: list[str] = ()
+) -> Landed:
+    """Each landed document parsed once: those that pass as ``doc``, the others as rejects with a reason.
+
+    Reasons, first that applies: ``null`` (no payload), ``malformed`` (no JSON, or a value of the wrong type),
+    then the name of each failed check (a condition on ``doc`` that is true for a bad document). The parse is
+    stored once; ``observe`` counts documents and rejects in that pass. Columns ``keep`` go along both ways.
+    """
+    probe = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    doc = F.from_json(payload, probe, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    reason = F.when(F.col(payload).isNull(), "null").when(F.col(f"doc.{CORRUPT}").isNotNull(), "malformed")
+    for name, bad in checks:
+        reason = reason.when(bad, name)
+    seen = Observation("documents")
+    held = stage(
+        df.select(*keep, payload, doc.alias("doc"))
+        .withColumn("reason", reason)
+        .observe(seen, F.count(F.lit(1)).alias("documents"), F.count("reason").alias("rejected")),
+        "documents",
+    )
+    counts = {k: int(v) for k, v in seen.get.items()}
+    counts["parsed"] = counts["documents"] - counts["rejected"]
+    rows = held.where(F.col("reason").isNull()).select(*keep, F.col("doc").dropFields(CORRUPT).alias("doc"))
+    rejects = held.where(F.col("reason").isNotNull()).select(*keep, payload, "reason")
+    return Landed(rows, rejects, counts)
+
+
+def checked_result_set(
+    df: DataFrame, payload: str, schema: T.StructType, index: int = 0, keep: list[str] = ()
+) -> Landed:
+    """``flatten_result_set`` with rejects: a document without result set ``index`` is one (``no result set``)."""
+    missing = F.coalesce(F.size("doc.resultSets"), F.lit(-1)) <= index
+    docs = parse_documents(df, payload, RESULT_SETS, [("no result set", missing)], keep)
+    rows = _set_rows(docs.rows.select(*keep, F.col("doc.resultSets")[index].alias("__set")), schema, keep)
+    return Landed(rows, docs.rejects, docs.counts)
+
+
 def _statistics(keys: list[str]) -> T.StructType:
     return T.StructType([T.StructField(k, T.DoubleType()) for k in keys])
 
@@ -143,6 +185,10 @@ def flatten_team_boxscore(
 ) -> DataFrame:
     """One row per game; each side's statistics get a ``home_`` or ``away_`` prefix."""
     doc = df.select(*keep, F.from_json(payload, boxscore_schema(statistics)).alias("d"))
+    return _team_rows(doc, statistics, keep)
+
+
+def _team_rows(doc: DataFrame, statistics: list[str], keep) -> DataFrame:
     sides = [
         F.col(f"d.{side}Team.statistics.{k}").alias(f"{side}_{k}")
         for side in ("home", "away")
@@ -162,6 +208,27 @@ def explode_player_boxscore(
 ) -> DataFrame:
     """One row per player of either side."""
     doc = df.select(*keep, F.from_json(payload, boxscore_schema(statistics)).alias("d"))
+    return _player_rows(doc, statistics, keep, with_team)
+
+
+def checked_boxscores(df: DataFrame, payload: str, statistics: list[str], keep: list[str] = ()) -> Landed:
+    """Box-score documents parsed once, with rejects: a document without ``gameId`` is one (``no game``).
+
+    ``rows`` holds ``keep`` and the parsed document ``d``; give it to ``team_rows`` or ``player_rows``.
+    """
+    docs = parse_documents(df, payload, boxscore_schema(statistics), [("no game", F.col("doc.gameId").isNull())], keep)
+    return Landed(docs.rows.withColumnRenamed("doc", "d"), docs.rejects, docs.counts)
+
+
+def team_rows(parsed: DataFrame, statistics: list[str], keep: list[str] = ()) -> DataFrame:
+    return _team_rows(parsed, statistics, keep)
+
+
+def player_rows(parsed: DataFrame, statistics: list[str], keep: list[str] = (), with_team: bool = True) -> DataFrame:
+    return _player_rows(parsed, statistics, keep, with_team)
+
+
+def _player_rows(doc: DataFrame, statistics: list[str], keep, with_team: bool) -> DataFrame:
     sides = F.array(
         *[
             F.struct(

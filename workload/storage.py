@@ -114,7 +114,7 @@ def s5(spark, sf):
             T.StructField("not_a_number", T.IntegerType()),
         ]
     )
-    return payloads.flatten_result_set(c.select(text.alias("payload")), "payload", schema)
+    return payloads.checked_result_set(c.select(text.alias("payload")), "payload", schema).rows
 
 
 STATISTICS = ["pointsPaint", "pointsFastBreak"]
@@ -157,7 +157,7 @@ def boxscores(spark, sf):
   away_paint as "away_pointsPaint", away_fast_break as "away_pointsFastBreak" from games""",
 )
 def s6(spark, sf):
-    return payloads.flatten_team_boxscore(boxscores(spark, sf), "payload", STATISTICS)
+    return payloads.team_rows(payloads.checked_boxscores(boxscores(spark, sf), "payload", STATISTICS).rows, STATISTICS)
 
 
 _PLAYER_BOX = " union all ".join(
@@ -175,7 +175,7 @@ _PLAYER_BOX = " union all ".join(
   player_slug, paint as "pointsPaint", fast as "pointsFastBreak" from ({_PLAYER_BOX})""",
 )
 def s7(spark, sf):
-    return payloads.explode_player_boxscore(boxscores(spark, sf), "payload", STATISTICS)
+    return payloads.player_rows(payloads.checked_boxscores(boxscores(spark, sf), "payload", STATISTICS).rows, STATISTICS)
 
 
 @query(
@@ -516,3 +516,70 @@ def q11_lines_counts(spark, sf):
     names = ["landed", "rejected", "rows", "new", "changed", "equal", "vanished"]
     rows = [(label, *[int(load.counts[n]) for n in names]) for label, load in (("first", first), ("second", second))]
     return spark.createDataFrame(rows, "load string, " + ", ".join(f"{n} bigint" for n in names))
+
+
+# Landings with broken documents besides all real ones: truncated text, documents without what the reader needs,
+# and empty payloads.
+_CUSTOMER_SET = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType())])
+
+
+def _customer_landing(spark, sf):
+    c = table(spark, sf, "customer")
+    text = _result_sets(F.col("c_custkey"), [(["c_custkey", "c_name"], [F.col("c_custkey"), F.col("c_name")])])
+    key = F.col("c_custkey")
+    return c.select("c_custkey", text.alias("payload")).unionByName(
+        c.where(key % 50 == 0).select("c_custkey", F.substring(text, 1, 30).alias("payload"))
+    ).unionByName(c.where(key % 70 == 0).select("c_custkey", F.lit('{"resource": "x"}').alias("payload"))).unionByName(
+        c.where(key % 90 == 0).select("c_custkey", F.lit(None).cast("string").alias("payload"))
+    )
+
+
+def _boxscore_landing(spark, sf):
+    g = games(spark, sf).select("game_key")
+    docs = boxscores(spark, sf).select(F.get_json_object("payload", "$.gameId").cast("long").alias("game_key"), "payload")
+    key = F.col("game_key")
+    return docs.unionByName(docs.where(key % 40 == 0).select("game_key", F.substring("payload", 1, 50).alias("payload"))).unionByName(
+        g.where(key % 60 == 0).select("game_key", F.lit('{"homeTeamId": 1}').alias("payload"))
+    )
+
+
+@query(
+    "s5_rejects",
+    f"""with {S.GAMES}
+select 'result set' as source, c_custkey as key, 'malformed' as reason from customer where c_custkey % 50 = 0
+union all select 'result set', c_custkey, 'no result set' from customer where c_custkey % 70 = 0
+union all select 'result set', c_custkey, 'null' from customer where c_custkey % 90 = 0
+union all select 'box score', game_key, 'malformed' from games where game_key % 40 = 0
+union all select 'box score', game_key, 'no game' from games where game_key % 60 = 0""",
+)
+def s5_rejects(spark, sf):
+    """Every document that does not parse, with the reason; none is lost without a trace."""
+    sets = payloads.checked_result_set(_customer_landing(spark, sf), "payload", _CUSTOMER_SET, keep=["c_custkey"])
+    boxes = payloads.checked_boxscores(_boxscore_landing(spark, sf), "payload", STATISTICS, keep=["game_key"])
+    return sets.rejects.select(F.lit("result set").alias("source"), F.col("c_custkey").alias("key"), "reason").unionByName(
+        boxes.rejects.select(F.lit("box score").alias("source"), F.col("game_key").alias("key"), "reason")
+    )
+
+
+@query(
+    "s5_landed_counts",
+    f"""with {S.GAMES},
+c as (select count(*) as n, count(*) filter (c_custkey % 50 = 0) as a, count(*) filter (c_custkey % 70 = 0) as b,
+  count(*) filter (c_custkey % 90 = 0) as z from customer),
+g as (select count(*) as n, count(*) filter (game_key % 40 = 0) as a, count(*) filter (game_key % 60 = 0) as b from games)
+select 'result set' as source, (n + a + b + z)::bigint as documents, (a + b + z)::bigint as rejected, n::bigint as parsed,
+  n::bigint as rows from c
+union all select 'box score', (n + a + b)::bigint, (a + b)::bigint, n::bigint, (4 * n)::bigint from g""",
+)
+def s5_landed_counts(spark, sf):
+    """Documents = parsed + rejected, counted while the parse is stored; rows are what the parsed ones give."""
+    sets = payloads.checked_result_set(_customer_landing(spark, sf), "payload", _CUSTOMER_SET, keep=["c_custkey"])
+    boxes = payloads.checked_boxscores(_boxscore_landing(spark, sf), "payload", STATISTICS, keep=["game_key"])
+    out = []
+    for source, landed, rows in (
+        ("result set", sets, sets.rows),
+        ("box score", boxes, payloads.player_rows(boxes.rows, STATISTICS)),
+    ):
+        c = landed.counts
+        out.append((source, c["documents"], c["rejected"], c["parsed"], rows.count()))
+    return spark.createDataFrame(out, "source string, documents bigint, rejected bigint, parsed bigint, rows bigint")
