@@ -33,7 +33,7 @@ from hoopline.llm.frames import Columns, annotate
 SCHEMA = "text string, n_chars long"
 
 _TOKEN = re.compile(
-    r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?>(?:[^>=]|=\s*"[^"]*"|=\s*'[^']*'|=)*))>)""", re.S
+    r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*+)((?>(?:[^>=]|=\s*"[^"]*"|=\s*'[^']*'|=)*))>)""", re.S
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s]*))?""")
 
@@ -173,9 +173,18 @@ def parse(page: str) -> Tree:
             links -= tags[e] == "a"
         del stack[depth:]
 
+    # No tag ends after the last '>', so no search looks past it: a '<' without any '>' after it costs nothing.
+    last = page.rfind(">", 0, end) + 1
     while at < end:
-        token = _TOKEN.search(page, at)
-        begin = token.start() if token else end
+        token = _TOKEN.search(page, at, last) if at < last else None
+        if token is not None and token.group(0).startswith("<!--") and not token.group(0).endswith("-->"):
+            token = None  # a comment left open runs to the end
+            begin = page.find("<!--", at)
+        elif token is None:
+            opened = page.find("<!--", at)
+            begin = opened if opened >= 0 else end
+        else:
+            begin = token.start()
         if begin > at and not outside[stack[-1]]:
             text = page[at:begin]
             if "&" in text:

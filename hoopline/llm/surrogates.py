@@ -38,7 +38,9 @@ CLOSED = ("ip", "phone", "ssn", "card")
 PERMUTATION_ROUNDS = 8
 
 # Patterns, and the fixed words of forms of address and keywords.
-EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
+#: Host labels of at most 63 characters and at most 127 of them (253 characters), as DNS allows; the bounds also
+#: keep the regex engine's recursion, one level per label, small on any text.
+EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){0,125}\.[A-Za-z]{2,63}"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 IP = rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])"
 PHONE = r"\+[0-9]{1,3}[ .\-]?\(?[0-9]{2,4}\)?(?:[ .\-]?[0-9]{2,4}){2,4}(?![0-9])"
