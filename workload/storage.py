@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from hoopline.plans import ingest
 from hoopline.session import staging_root
-from hoopline.sources import html, payloads, tables
+from hoopline.sources import html, json_arrays, payloads, tables
 from workload import sql as S
 from workload.registry import query
 from workload.views import games, player_logs, raw_lines, table
@@ -583,3 +583,34 @@ def s5_landed_counts(spark, sf):
         c = landed.counts
         out.append((source, c["documents"], c["rejected"], c["parsed"], rows.count()))
     return spark.createDataFrame(out, "source string, documents bigint, rejected bigint, parsed bigint, rows bigint")
+
+
+def _as_arrays(batches):
+    """Each task's records as one JSON array text: '[' first, a comma after every record but the last, ']' last."""
+    import pyarrow as pa
+
+    yield pa.RecordBatch.from_pydict({"value": ["["]})
+    pending = None
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            if pending is not None:
+                yield pa.RecordBatch.from_pydict({"value": [pending + ","]})
+            pending = text
+    yield pa.RecordBatch.from_pydict({"value": [(pending or "") + "]"]})
+
+
+@query("s4_json_arrays", "select event_id, user_id, event_type from events")
+def s4_arrays(spark, sf):
+    """Events landed as a few large JSON-array files, read back by byte ranges."""
+    events = table(spark, sf, "events")
+    path = f"{_folder(spark)}/events-arrays"
+    records = events.select(F.to_json(F.struct("event_id", "user_id", "event_type", "value")).alias("value"))
+    records.repartition(4).mapInArrow(_as_arrays, "value string").write.text(path)
+    schema = T.StructType(
+        [
+            T.StructField("event_id", T.LongType()),
+            T.StructField("user_id", T.LongType()),
+            T.StructField("event_type", T.StringType()),
+        ]
+    )
+    return json_arrays.read_array_records(spark, path, schema).rows.select("event_id", "user_id", "event_type")
