@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hoopline.llm.frames import stage
+from hoopline.llm.frames import discard, stage
 
 EDGES_PER_TASK = 1_000_000
 
@@ -53,20 +53,28 @@ def connected_components(edges: DataFrame, per_task: int = EDGES_PER_TASK) -> Da
     Loops and repeated edges do no harm; rows with a null end are left out. Nodes without an edge are not returned.
     """
     levels: list[DataFrame] = []
+    forests: list[DataFrame] = []
     edges = edges.select("a", "b").filter("a is not null and b is not null")
     count = edges.count()
+    ours = None  # edges stored here, deleted once the next forest is stored
     while True:
         tasks = max(1, math.ceil(count / per_task))
         found = stage(edges.repartition(tasks).mapInArrow(_forests, "node long, root long"), "forest")
+        forests.append(found)
+        discard(ours)
         least = found.groupBy("node").agg(F.min("root").alias("root"))
         levels.append(least)
         ties = found.join(least.withColumnRenamed("root", "least"), "node").filter("root <> least")
-        edges = stage(ties.select(F.col("least").alias("a"), F.col("root").alias("b")).distinct(), "ties")
+        edges = ours = stage(ties.select(F.col("least").alias("a"), F.col("root").alias("b")).distinct(), "ties")
         count = edges.count()
         if not count:
             break
+    discard(ours)
     result = levels.pop()
     while levels:
         upper = result.select(F.col("node").alias("root"), F.col("root").alias("top"))
         result = levels.pop().join(upper, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    # Stored, so the forests of the rounds can go.
+    result = stage(result, "components")
+    discard(*forests)
     return result

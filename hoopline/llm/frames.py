@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from hoopline.session import stage
+from hoopline.session import stage, staging_root
 
-__all__ = ["BATCH_ROWS", "Columns", "annotate", "partitions", "slices", "stage", "table"]
+__all__ = ["BATCH_ROWS", "Columns", "annotate", "discard", "partitions", "slices", "stage", "table"]
 
 #: Rows that reach Python in one Arrow batch; long texts make batches of many rows large.
 BATCH_ROWS = 2000
@@ -23,6 +23,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def discard(*frames: DataFrame | None) -> None:
+    """Delete the stored tables behind staged frames that nothing will read again.
+
+    Only folders below the staging root are touched, so a frame read from the input is never deleted.
+    """
+    for df in frames:
+        if df is None:
+            continue
+        files = df.inputFiles()
+        if not files:
+            continue
+        spark = df.sparkSession
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+        prefix = root.getFileSystem(conf).makeQualified(root).toString().rstrip("/") + "/"
+        folder = files[0].rsplit("/", 1)[0]
+        if folder.startswith(prefix) and "/" not in folder[len(prefix):]:
+            target = jvm.org.apache.hadoop.fs.Path(folder)
+            target.getFileSystem(conf).delete(target, True)
+
+
 def partitions(spark: SparkSession) -> int:
     """How many buckets a packed shuffle deals its data to: the session's number, which grows with the data."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

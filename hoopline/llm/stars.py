@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from hoopline.llm.blocks import TextBlock, blocks
 from hoopline.llm.components import connected_components
-from hoopline.llm.frames import partitions, slices, stage
+from hoopline.llm.frames import discard, partitions, slices, stage
 
 STAR_ROUNDS = 2
 #: Members compared with one copy of a center.
@@ -163,7 +163,9 @@ def linked_classes(groups: Groups, sets: Sets) -> DataFrame:
     rows, links, tested, labels = groups.rows, None, None, None
     for step in range(STAR_ROUNDS + 1):
         if labels is not None:
+            before = rows if rows is not groups.rows else None  # the caller's rows are the caller's to delete
             rows = stage(groups.apart(rows, labels), "apart")
+            discard(before)
         texts, details = None, groups.details
         if step < STAR_ROUNDS:
             pairs = groups.star(rows, step)
@@ -181,10 +183,13 @@ def linked_classes(groups: Groups, sets: Sets) -> DataFrame:
             texts = stage(groups.fetch(refs), "texts")
         left = pairs if details is not None else close_pairs(pairs, texts, groups.percent)
         found = stage(verified(left, texts.select("ref", "text"), sets, groups.percent), "links")
+        if texts is not groups.details:
+            discard(texts)
         links = found if links is None else links.unionByName(found)
         turned = pairs.unionByName(pairs.select(F.col("ref").alias("center"), F.col("center").alias("ref")))
         tested = turned if tested is None else tested.unionByName(turned)
-        labels = stage(connected_components(links), "classes")
+        before, labels = labels, connected_components(links)  # stored there
+        discard(before)
     if labels is None:
         return rows.sparkSession.createDataFrame([], "node long, root long")
     return labels
