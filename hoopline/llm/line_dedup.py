@@ -100,6 +100,37 @@ def shingle_sets(block: TextBlock) -> list[np.ndarray]:
     return out
 
 
+_LEND = np.uint32(0x9E3779B1)
+# A value borrowed over d bins is v * _LEND**d + (1 + _LEND + ... + _LEND**(d-1)): marked with its distance, so that
+# it does not equal the bin's own.
+def _lend_tables() -> tuple[np.ndarray, np.ndarray]:
+    power, total = [np.uint32(1)], [np.uint32(0)]
+    with np.errstate(over="ignore"):
+        for _ in range(_BINS):
+            total.append(total[-1] + power[-1])
+            power.append(power[-1] * _LEND)
+    return np.array(power, np.uint32), np.array(total, np.uint32)
+
+
+_POWER, _TOTAL = _lend_tables()
+
+
+def _borrow(least: np.ndarray) -> np.ndarray:
+    """Each empty bin takes the nearest filled bin to its right (cyclically), marked with the distance."""
+    filled = least != _EMPTY
+    place = np.arange(2 * _BINS)
+    nearest = np.where(np.concatenate((filled, filled), 1), place, 4 * _BINS)
+    nearest = np.minimum.accumulate(nearest[:, ::-1], 1)[:, ::-1][:, :_BINS]
+    distance = nearest - place[:_BINS]
+    found = nearest < 2 * _BINS
+    rows = np.arange(len(least))[:, None]
+    lent = np.concatenate((least, least), 1)[rows, np.where(found, nearest, 0)]
+    with np.errstate(over="ignore"):
+        d = np.where(found, distance, 0)
+        marked = lent * _POWER[d] + _TOTAL[d]
+    return np.where(found, marked, _EMPTY).astype(np.uint32)
+
+
 def band_hashes(line: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     """(n, BANDS) hashes of the bands of ``n`` lines, from their shingles in any order."""
     out = np.zeros((n, _BINS), np.uint64)
@@ -111,14 +142,7 @@ def band_hashes(line: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
         h >>= np.uint64(32)
         least = np.full(n * _BINS, _EMPTY, np.uint32)
         np.minimum.at(least, bins, h.astype(np.uint32))
-        least = least.reshape(n, _BINS)
-        for step in range(1, _BINS):
-            empty = least == _EMPTY
-            if not empty.any():
-                break
-            # a borrowed value is marked with the distance, so that it does not equal the bin's own
-            lent = np.roll(least, -1, 1)
-            least = np.where(empty & (lent != _EMPTY), lent * np.uint32(0x9E3779B1) + np.uint32(1), least)
+        least = _borrow(least.reshape(n, _BINS))
         out = mix(out ^ (least.astype(np.uint64) + np.uint64(k << 40)))
     return mix(out[:, :BANDS] ^ np.arange(BANDS, dtype=np.uint64) << np.uint64(56))
 
