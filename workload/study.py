@@ -137,6 +137,40 @@ def m10(spark, sf):
     return found.withColumn("score", F.round("score", 8))
 
 
+def _psi_sql(x: str) -> str:
+    y = f"(({x}) + 8.0)"
+    i = f"(1.0 / ({y} * {y}))"
+    steps = " + ".join(f"1.0 / (({x}) + {j}.0)" for j in range(8))
+    return (f"(ln({y}) - 0.5 / {y} - {i} * (1.0 / 12 - {i} * (1.0 / 120 - {i} * (1.0 / 252 - {i} * (1.0 / 240 - {i} / 132)))) "
+            f"- ({steps}))")
+
+
+_LONG = " union all ".join(f"select win as class, rid, '{c}' as feature, cast({c} as double) as value from numbered" for c in NOTEBOOK_FEATURES)
+_NEAR = ", ".join(f"abs({f}(value, {j}) over w - value)" for f in ("lag", "lead") for j in (1, 2, 3))
+_NEIGHBOUR_SQL = f"""with {_MATRIX_CTE}, numbered as (select *, row_number() over () as rid from matrix),
+long as ({_LONG}),
+pts as (select * from (select *, count(*) over (partition by feature, class) as class_size from long
+  where value is not null and class is not null) where class_size > 1),
+nb as (select feature, rid, value, class_size, least(3, class_size - 1) as k,
+  list_sort(list_filter([{_NEAR}], lambda x: x is not null)) as d from pts window w as (partition by feature, class order by value, rid)),
+rad as (select feature, rid, value, class_size, k, d[k] as r from nb),
+ev as (select feature, value, 1 as kind, 1 as point, cast(null as bigint) as rid, cast(null as varchar) as e from rad
+  union all select feature, value - r, case when r = 0 then 0 else 2 end, 0, rid, 'low' from rad
+  union all select feature, value + r, case when r = 0 then 2 else 0 end, 0, rid, 'high' from rad),
+cnt as (select *, coalesce(sum(point) over (partition by feature order by value, kind rows between unbounded preceding and 1 preceding), 0) as before from ev),
+m as (select feature, rid, sum(case when e = 'high' then before end) - sum(case when e = 'low' then before end) as m
+  from cnt where point = 0 group by feature, rid)
+select feature, round(greatest({_psi_sql("count(*)")} + avg({_psi_sql("k")}) - avg({_psi_sql("class_size")}) - avg({_psi_sql("m")}), 0), 8) as score
+from rad join m using (feature, rid) group by feature"""
+
+
+@query("m10_neighbour_information", _NEIGHBOUR_SQL)
+def m10_neighbours(spark, sf):
+    """Mutual information of each feature with winning by 3 nearest neighbours, as the study's library computes it."""
+    found = C.neighbour_information(_matrix(spark, sf), NOTEBOOK_FEATURES, "win")
+    return found.withColumn("score", F.round("score", 8))
+
+
 def _statistics(spark, sf):
     """Scores by three statistical methods, rounded so that both engines rank the same numbers."""
     matrix = _matrix(spark, sf)
