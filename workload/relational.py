@@ -104,6 +104,23 @@ def j11(spark, sf):
     return active.select("PERSON_ID", "season")
 
 
+@query(
+    "j11_binned_range_join",
+    f"""with {S.PLAYERS}, days as (select distinct o_orderdate as day from orders)
+select "PERSON_ID", day from players join days
+  on day between make_date(cast("FROM_YEAR" as int), 1, 1) and make_date(cast("TO_YEAR" as int), 12, 31)""",
+)
+def j11_binned(spark, sf):
+    """Each player against every order date of the decades the player was active: pairs only, by bins."""
+    p = players(spark, sf).select(
+        "PERSON_ID",
+        F.make_date(F.col("FROM_YEAR").cast("int"), F.lit(1), F.lit(1)).alias("first_day"),
+        F.make_date(F.col("TO_YEAR").cast("int"), F.lit(12), F.lit(31)).alias("last_day"),
+    )
+    days = table(spark, sf, "orders").select(F.col("o_orderdate").alias("day")).distinct()
+    return J.binned_range_join(days, p, "day", "first_day", "last_day").select("PERSON_ID", "day")
+
+
 @query(
     "j3_three_way_join",
     f"""with {S.BOX} select tl.bare_id as game_id, tl."TEAM_ID" as team_id, tl."PTS" as pts, mm.paint_pts, am.pace
