@@ -11,6 +11,7 @@ from hoopline.functions.numeric import total
 from hoopline.operators import ingest as I
 from hoopline.operators.selection import sorted_desc, sorted_report, top_k
 from hoopline.plans import betting, lines as L, lineups, predictions as P, snapshots
+from hoopline.session import stage
 from hoopline.sources.html import injury_table
 from hoopline.sources.payloads import lineup_players
 from workload import sql as S
@@ -415,9 +416,28 @@ def m1(spark, sf):
 
 
 def _with_place(ordered):
-    """Adds each row's place in the order that the sort gave; the ids grow with partition and row."""
-    placed = ordered.withColumn("__id", F.monotonically_increasing_id())
-    return placed.withColumn("place", F.row_number().over(Window.orderBy("__id"))).drop("__id")
+    """Adds each row's place in the order that the sort gave, without one task for all rows.
+
+    The sort's range partitions come in order; each row's place is the rows of earlier partitions (one count per
+    partition) plus its number within its own. Partition and id are stored first, so a re-run task cannot move rows.
+    """
+    placed = stage(
+        ordered.withColumn("__part", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id()),
+        "sorted",
+    )
+    starts = (
+        placed.groupBy("__part")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        # One row per partition of the sort.
+        .withColumn("__start", F.coalesce(F.sum("__n").over(
+            Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    )
+    here = Window.partitionBy("__part").orderBy("__id")
+    return (
+        placed.join(starts.select("__part", "__start"), "__part")
+        .withColumn("place", (F.col("__start") + F.row_number().over(here)).cast("int"))
+        .drop("__part", "__id", "__start")
+    )
 
 
 @query(
@@ -443,6 +463,12 @@ def o3(spark, sf):
     return q2(spark, sf).orderBy("Player_ID", F.desc("player_name"))
 
 
+@query("o3_order_limit", f"{Q2_SQL} order by \"Player_ID\", player_name desc limit 50")
+def o3_limit(spark, sf):
+    """The first 50 rows of the snapshot's order: the limit cuts, and Spark keeps 50 rows per task before merging."""
+    return q2(spark, sf).orderBy("Player_ID", F.desc("player_name")).limit(50)
+
+
 @query(
     "o4_top_k",
     "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 10",
