@@ -614,3 +614,26 @@ def s4_arrays(spark, sf):
         ]
     )
     return json_arrays.read_array_records(spark, path, schema).rows.select("event_id", "user_id", "event_type")
+
+
+_GRID_CELLS = [
+    (0, 0, "s_name"), (0, 1, "s_name"), (0, 2, "cast(s_suppkey as varchar)"),
+    (1, 0, "cast(s_nationkey as varchar)"), (1, 1, "'p' || cast(s_suppkey as varchar) || ' inner'"), (1, 2, "cast(s_suppkey * 7 as varchar)"),
+    (2, 0, "cast(s_nationkey as varchar)"), (2, 1, "'x'"), (2, 2, "'y'"),
+]
+
+
+@query(
+    "s9_table_grid",
+    " union all ".join(f"select s_suppkey, {r} as row_no, {c} as col_no, {v} as text from supplier" for r, c, v in _GRID_CELLS),
+)
+def s9_grid(spark, sf):
+    """A page per supplier whose table has a spanned heading, a spanned first column and a table inside a cell."""
+    s = table(spark, sf, "supplier")
+    page = F.concat(
+        F.lit("<h1>Supplier</h1><table><tr><th colspan=2>"), F.col("s_name"), F.lit("</th><th>"), F.col("s_suppkey").cast("string"),
+        F.lit("</th></tr><tr><td rowspan='2'>"), F.col("s_nationkey").cast("string"), F.lit("</td><td>p"), F.col("s_suppkey").cast("string"),
+        F.lit("<table><tr><td>inner</td></tr></table></td><td>"), (F.col("s_suppkey") * 7).cast("string"),
+        F.lit("</td></tr><tr><td>x</td><td>y</td></tr></table><table><tr><td>not the first</td></tr></table>"),
+    )
+    return html.table_grid(s.select("s_suppkey", page.alias("html")), "html", ["s_suppkey"])
