@@ -316,6 +316,18 @@ def m6(spark, sf):
     return scores.withColumn("accuracy", F.lit(hit))
 
 
+@query(
+    "m7_fold_sizes",
+    f"""with {_MATRIX_CTE}, placed as (select win,
+  (row_number() over (partition by win order by md5(concat_ws('|', game_id, team, win, '1'))) - 1) % 5 as fold from matrix)
+select win, cast(fold as int) as fold, count(*) as n_rows from placed group by win, fold""",
+)
+def m7_folds(spark, sf):
+    """Rows per class and fold: exact, within one row of each other."""
+    folded = M.with_folds(_matrix(spark, sf), KEYS, "win", seed=1)
+    return folded.groupBy("win", "fold").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("m7_cross_validation")
 def m7(spark, sf):
     """Five folds of each of the study's models."""
