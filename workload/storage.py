@@ -637,3 +637,54 @@ def s9_grid(spark, sf):
         F.lit("</td></tr><tr><td>x</td><td>y</td></tr></table><table><tr><td>not the first</td></tr></table>"),
     )
     return html.table_grid(s.select("s_suppkey", page.alias("html")), "html", ["s_suppkey"])
+
+
+@query(
+    "q11_first_player_load",
+    f"""with {S.PLAYER_LOG} select "SEASON_ID", "Player_ID", "Game_ID", "GAME_DATE", "WL", "PTS", "LINE_NO", "TEAM",
+  "OPPONENT", "HOME/AWAY", s_name as player_name from player_log left join supplier on s_suppkey = "Player_ID" and s_suppkey % 10 <> 3""",
+)
+def q11_first_load(spark, sf):
+    """The first full load keeps every logged player; those not listed stay unnamed."""
+    from workload.views import players
+
+    listed = players(spark, sf).where(F.col("PERSON_ID") % 10 != 3)
+    rows = ingest.shape_all_player_logs(log_payloads(player_logs(spark, sf)), LOG_COLUMNS, listed)
+    return rows.select(
+        "SEASON_ID", "Player_ID", "Game_ID", "GAME_DATE", "WL", "PTS", "LINE_NO", "TEAM", "OPPONENT", "`HOME/AWAY`", "player_name"
+    )
+
+
+@query("q11_restore_table", "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")
+def q11_restore(spark, sf):
+    """A table written, backed up as CSV, damaged, and restored from the backup."""
+    root = _folder(spark)
+    rows = table(spark, sf, "supplier").select(*[f.name for f in SUPPLIER.fields])
+    tables.write_table(rows, root, "general", "suppliers", "fail")
+    tables.write_csv(rows, f"{root}/backup/suppliers")
+    tables.write_table(rows.where(F.col("s_suppkey") % 2 == 0), root, "general", "suppliers", "replace")
+    ingest.restore_table(tables.read_csv(spark, f"{root}/backup/suppliers", SUPPLIER), root, "general", "suppliers")
+    return tables.read_table(spark, root, "general", "suppliers")
+
+
+@query(
+    "q11_season_mark",
+    f"""with {S.TEAM_LOG} select 'before' as load, 1979 as season
+union all select 'after', cast(max("SEASON_YEAR") as int) from team_log where "TEAM_ID" < 20""",
+)
+def q11_season_mark(spark, sf):
+    """The season from which the next team-log load starts: before any load, then after a full one."""
+    from hoopline.operators.ingest import latest_season
+    from workload.views import team_logs
+
+    root = _folder(spark)
+    columns = T.StructType([T.StructField(c, T.LongType() if c == "TEAM_ID" else T.StringType()) for c in ("TEAM_ID", "GAME_ID", "MATCHUP")])
+    empty = spark.createDataFrame([], "SEASON_YEAR int")
+    before = latest_season(empty, "SEASON_YEAR").select(F.lit("before").alias("load"), F.col("season").cast("int"))
+    logs = team_logs(spark, sf)
+    names = ["TEAM_ID", "GAME_ID", "MATCHUP"]
+    landed = logs.select(_result_sets(F.col("TEAM_ID"), [(names, [F.col(c) for c in names])]).alias("payload"), "SEASON_YEAR")
+    teams = table(spark, sf, "nation").filter("n_nationkey < 20").select(F.col("n_nationkey").cast("bigint").alias("id"))
+    path = ingest.ingest_team_logs(landed, columns, teams, ["TEAM_ID", "GAME_ID", "SEASON_YEAR"], root)
+    after = latest_season(spark.read.parquet(path), "SEASON_YEAR").select(F.lit("after").alias("load"), F.col("season").cast("int"))
+    return before.unionByName(after)
