@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hoopline.functions.numeric import total
-from hoopline.operators import ingest as I
+from hoopline.operators import ingest as I, models as M
 from hoopline.operators.selection import sorted_desc, sorted_report, top_k
 from hoopline.plans import betting, lines as L, lineups, predictions as P, snapshots
 from hoopline.session import stage
@@ -415,6 +415,55 @@ def m1(spark, sf):
     return spark.createDataFrame(rows, "predictor string, coefficient double")
 
 
+def _ou_training(spark, sf):
+    features = betting.betting_features(
+        player_logs(spark, sf), players(spark, sf), lines(spark, sf), 3, TIES, lines_game_id="game_id"
+    )
+    return P.training_filter(features)
+
+
+@query("m1_least_squares_qr")
+def m1_qr(spark, sf):
+    """Coefficients of the total-points model by a tall-skinny QR over all training rows; dependent ones kept False."""
+    fit = M.least_squares_qr(_ou_training(spark, sf), P.predictors(), P.TARGETS["ou"])
+    return spark.createDataFrame(
+        list(zip(fit.names, fit.coefficients, fit.kept)), "predictor string, coefficient double, kept boolean"
+    )
+
+
+# The least-squares residual is orthogonal to every column of the design: its cosine with each is 0.
+_ORTHOGONAL_SQL = "select predictor, cast(0 as double) as cosine from (values " + ", ".join(
+    f"('{c}')" for c in ["intercept", *P.predictors()]
+) + ") t(predictor)"
+
+
+@query("m1_residual_orthogonality", _ORTHOGONAL_SQL)
+def m1_orthogonality(spark, sf):
+    """Cosine of the QR fit's residual with each predictor over all training rows, rounded to 6 places."""
+    training = _ou_training(spark, sf)
+    columns = P.predictors()
+    fit = M.least_squares_qr(training, columns, P.TARGETS["ou"])
+    used = training.select(
+        *[F.col(c).cast("double").alias(c) for c in columns], F.col(P.TARGETS["ou"]).cast("double").alias("__y")
+    ).dropna()
+    fitted = F.lit(fit.coefficients[0])
+    for c, b in zip(columns, fit.coefficients[1:]):
+        fitted = fitted + F.lit(b) * F.col(c)
+    residual = F.col("__y") - fitted
+    with_residual = used.withColumn("__r", residual).withColumn("intercept", F.lit(1.0))
+    sums = with_residual.agg(
+        F.sum(F.col("__r") * F.col("__r")).alias("__rr"),
+        *[F.sum(F.col(c) * F.col("__r")).alias(f"xr_{i}") for i, c in enumerate(["intercept", *columns])],
+        *[F.sum(F.col(c) * F.col(c)).alias(f"xx_{i}") for i, c in enumerate(["intercept", *columns])],
+    )
+    rows = [
+        F.struct(F.lit(c).alias("predictor"), F.abs(F.round(F.coalesce(
+            F.col(f"xr_{i}") / F.sqrt(F.col(f"xx_{i}") * F.col("__rr")), F.lit(0.0)), 6)).alias("cosine"))
+        for i, c in enumerate(["intercept", *columns])
+    ]
+    return sums.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
+
+
 def _with_place(ordered):
     """Adds each row's place in the order that the sort gave, without one task for all rows.
 
