@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from hoopline.operators import ingest as I
 from hoopline.operators import joins as J
+from hoopline.operators import key_index as KI
 from hoopline.operators.selection import members
 from hoopline.plans import betting
 from hoopline.plans.boxscore import MISC_METRICS, side_rows
+from hoopline.session import staging_root
 from workload import sql as S
 from workload.registry import query
 from workload.views import lines, player_logs, players, table, team_logs, team_misc
@@ -193,6 +197,21 @@ def i2(spark, sf):
     return I.new_keys(source, target, "game_id", "gameId")
 
 
+
+@query(
+    "i2_new_keys_indexed",
+    """select distinct ltrim(cast(l_orderkey as varchar), '0') as game_id from lineitem
+where ltrim(cast(l_orderkey as varchar), '0') not in (select ltrim(cast(o_orderkey as varchar), '0') from orders where o_orderstatus = 'F')""",
+)
+def i2_indexed(spark, sf):
+    """i2 against the stored table through its key index: only files that may hold a wanted key are read."""
+    source = table(spark, sf, "lineitem").select(F.lpad(F.col("l_orderkey").cast("string"), 10, "0").alias("game_id"))
+    target = table(spark, sf, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").cast("string").alias("gameId"))
+    path = f"{staging_root(spark)}/keyed-{uuid.uuid4().hex}"
+    files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    KI.store_with_key_index(target, path, "gameId", files)
+    return KI.new_keys_indexed(source, path, "game_id", "gameId").rows
+
 @query(
     "i3_latest_season",
     """select 'loaded' as target, cast(max(year(o_orderdate)) as int) as season from orders
