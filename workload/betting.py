@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hoopline.operators.windows import (
@@ -13,7 +16,9 @@ from hoopline.operators.windows import (
     to_date,
     trailing,
 )
+from hoopline.operators import increments as R
 from hoopline.plans import betting
+from hoopline.session import stage
 from workload import sql as S
 from workload.registry import query
 from workload.views import TIES, lines, player_logs, players
@@ -63,6 +68,39 @@ def w3(spark, sf):
     )
 
 
+
+# Loads of the player logs by date; the cut points follow the data, every row is loaded once.
+LOADS = 10
+
+
+@query(
+    "w4_rolling_by_increment",
+    _log_sql(
+        ("last_3_ppg", "avg", "3 preceding and 1 preceding"),
+        ("season_ppg", "avg", "unbounded preceding and 1 preceding"),
+        ("season_stddev", "stddev_samp", "unbounded preceding and 1 preceding"),
+    ),
+)
+def w4(spark, sf):
+    """w1 and w3 over all logs, loaded in ``LOADS`` increments by date: each load reads only the state and its rows."""
+    logs = player_logs(spark, sf).withColumn("season", F.year("GAME_DATE"))
+    rows = stage(logs.select(*LOG_KEYS, *LOG_ORDER).withColumn("__day", F.unix_date("GAME_DATE")), "logs-by-day")
+    cuts = sorted(set(rows.approxQuantile("__day", [i / LOADS for i in range(1, LOADS)], 0.001)))
+    measures = [
+        Measure("last_3_ppg", "avg", "PTS", trailing(3), 4),
+        Measure("season_ppg", "avg", "PTS", to_date(), 4),
+        Measure("season_stddev", "stddev", "PTS", to_date(), 4),
+    ]
+    state, loaded = None, []
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        # rows without a date sort first, so they are in the first load
+        after = F.col("__day") > lo if lo is not None else F.lit(True)
+        until = F.col("__day") <= hi if hi is not None else F.lit(True)
+        load = rows.filter((after & until) | (F.col("__day").isNull() if lo is None else F.lit(False)))
+        measured, state = R.advance(state, load.drop("__day"), LOG_KEYS, LOG_ORDER, measures)
+        loaded.append(stage(measured, "rolling-load"))
+    return reduce(DataFrame.unionByName, loaded).drop("player_name")
+
 _FORM_SQL = f"""with {S.PLAYER_LOG}, {S.PLAYERS},
 heights as (select "PERSON_ID", try_cast(split_part("HEIGHT", '-', 1) as double) * 12
     + try_cast(split_part("HEIGHT", '-', 2) as double) as inches from players),
