@@ -406,11 +406,9 @@ def q6(spark, sf):
 
 @query("m1_linear_regression")
 def m1(spark, sf):
-    """Coefficients of the total-points model."""
-    training = betting.betting_features(
-        player_logs(spark, sf), players(spark, sf), lines(spark, sf), 3, TIES, lines_game_id="game_id"
-    )
-    model = P.train_model(training, "ou")
+    """Coefficients of the total-points model. The fit and its summary both read the rows, so they are stored once."""
+    rows = _ou_training(spark, sf).select(*P.predictors(), P.TARGETS["ou"])
+    model = P.train_model(stage(rows, "training-rows"), "ou")
     rows = [("intercept", float(model.intercept)), *zip(P.predictors(), map(float, model.coefficients.toArray()))]
     return spark.createDataFrame(rows, "predictor string, coefficient double")
 
@@ -439,13 +437,16 @@ _ORTHOGONAL_SQL = "select predictor, cast(0 as double) as cosine from (values "
 
 @query("m1_residual_orthogonality", _ORTHOGONAL_SQL)
 def m1_orthogonality(spark, sf):
-    """Cosine of the QR fit's residual with each predictor over all training rows, rounded to 6 places."""
-    training = _ou_training(spark, sf)
+    """Cosine of the QR fit's residual with each predictor over all training rows, rounded to 6 places.
+
+    The fit and the residuals both read the rows, so they are stored once.
+    """
     columns = P.predictors()
-    fit = M.least_squares_qr(training, columns, P.TARGETS["ou"])
-    used = training.select(
+    used = _ou_training(spark, sf).select(
         *[F.col(c).cast("double").alias(c) for c in columns], F.col(P.TARGETS["ou"]).cast("double").alias("__y")
     ).dropna()
+    used = stage(used, "training-rows")
+    fit = M.least_squares_qr(used, columns, "__y")
     fitted = F.lit(fit.coefficients[0])
     for c, b in zip(columns, fit.coefficients[1:]):
         fitted = fitted + F.lit(b) * F.col(c)

@@ -26,14 +26,17 @@ def _game_id(key: Column) -> Column:
 
 
 def _played(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items with their game's date and teams."""
+    """Line items with their game's date and teams.
+
+    Orders meet their customers before the line items, which are dealt once, by order, as the sums per game need them.
+    """
     away = (F.col("c_nationkey") + 1 + F.col("l_orderkey") % 24) % 25
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    hosted = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     return (
         table(spark, sf, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(hosted, F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumns(
             {
                 "game_date": F.col("o_orderdate").cast("date"),
