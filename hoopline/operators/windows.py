@@ -28,6 +28,14 @@ from hoopline.session import stage
 
 # Rows of one key that a single task sorts without trouble.
 ROWS_PER_TASK = 4_000_000
+# Blocks that rows are cut into at most while a block holds fewer rows than that: a task for a few hundred rows costs
+# more than it sorts.
+MAX_BLOCKS = 1000
+
+
+def rows_per_block(total: int, rows_per_task: int) -> int:
+    """``rows_per_task``, or more where that would cut ``total`` rows into over ``MAX_BLOCKS`` small blocks."""
+    return max(rows_per_task, min(ceil(total / MAX_BLOCKS), ROWS_PER_TASK))
 
 
 @dataclass(frozen=True)
@@ -161,7 +169,7 @@ def with_positions(
     plain stored values from then on and re-run tasks cannot move rows between ranges.
     """
     salted = stage(df.withColumn("__salt", F.monotonically_increasing_id()), "busy-rows")
-    blocks = max(1, ceil(total / rows_per_task))
+    blocks = max(1, ceil(total / rows_per_block(total, rows_per_task)))
     ranged = stage(
         salted.repartitionByRange(
             blocks, *[c.asc_nulls_first() for c in _quoted([*keys, *order])], F.col("__salt")
@@ -199,7 +207,7 @@ def _attach(df: DataFrame, small: DataFrame, on: Sequence[str], values: Sequence
 def _across_tasks(df, keys, order, measures, total, rows_per_task) -> DataFrame:
     columns = df.columns
     reach = max([-m.frame.start for m in measures if m.frame.start is not None], default=0)
-    width = max(rows_per_task, reach)
+    width = max(rows_per_block(total, rows_per_task), reach)
     ranked = with_positions(df, keys, order, total, rows_per_task).withColumn(
         "__chunk", F.floor(F.col("__rn") / width)
     )
