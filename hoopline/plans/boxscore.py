@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hoopline.functions.numeric import fill_with_means, flag, two_point_columns
 from hoopline.functions.text import strip_zeros
 from hoopline.operators.ingest import season_filter
+from hoopline.session import stage
 
 # Feature lists of the script form (28) and the notebook form (24) of the study.
 SCRIPT_FEATURES = [
@@ -37,7 +38,10 @@ ADVANCED_METRICS = {"assist_to_turnover": "assist_to_turnover", "pace": "pace"}
 
 
 def side_rows(wide: DataFrame, metrics: dict[str, str], since: int) -> DataFrame:
-    """Wide game rows to distinct team rows, both sides from one scan."""
+    """Wide game rows to distinct team rows, both sides from one scan.
+
+    Rows are dealt by game and team, which serves both the removal of copies and the joins on these keys.
+    """
 
     def side(me: str) -> Column:
         return F.struct(
@@ -50,6 +54,7 @@ def side_rows(wide: DataFrame, metrics: dict[str, str], since: int) -> DataFrame
         .select(
             strip_zeros("game_id").alias("game_id"), "date", F.inline(F.array(side("away"), side("home")))
         )
+        .repartition("game_id", "team_id")
         .distinct()
     )
 
@@ -89,6 +94,9 @@ def team_boxscore_features(
 
 
 def feature_matrix(boxscores: DataFrame, features: list[str], label: str = "win") -> DataFrame:
-    """Features with missing values filled by their means, the label, and the row's game and team."""
+    """Features with missing values filled by their means, the label, and the row's game and team.
+
+    The rows are stored before the means are fitted, so the box scores are joined once, not for the means and again.
+    """
     wide = two_point_columns(boxscores).withColumn(label, F.col("`win?`").cast("int"))
-    return fill_with_means(wide.select("game_id", "team", label, *features), features)
+    return fill_with_means(stage(wide.select("game_id", "team", label, *features), "matrix"), features)

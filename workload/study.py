@@ -61,8 +61,8 @@ _MATRIX_CTE = f"""{_FEATURES_CTE}, matrix as (select game_id, team, win, {", ".j
 
 
 def _matrix(spark, sf, features=NOTEBOOK_FEATURES):
-    """Stored once: every score and fit reads it."""
-    return stage(feature_matrix(_box(spark, sf), features), "matrix")
+    """Its rows are stored by ``feature_matrix``: every score and fit reads them."""
+    return feature_matrix(_box(spark, sf), features)
 
 
 @query(
