@@ -254,6 +254,8 @@ def ingest_lines(spark: SparkSession, landed_path: str, columns: T.StructType, r
     write_table(landed.rejects.withColumn("landing", F.lit(landed_path)), root, "general", "lines_rejects", "append")
     shaped = with_underdog(landed.rows.dropDuplicates()).withColumn("season", F.substring("game_date", 1, 4))
     compared = [c for c in shaped.columns if c != "season"]
+    # The write, the diff, the rewrite and the counts all read the distinct rows, so they are stored once.
+    shaped = stage(shaped, "lines-shaped")
     path = table_path(root, "general", "lines")
     counts = dict(landed.counts)
     if not table_exists(spark, root, "general", "lines"):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hoopline.operators import windows as W
 from hoopline.plans import predictions as P
 from hoopline.plans.boxscore import MISC_METRICS, feature_matrix, side_rows
-from workload import load_all, reports
+from workload import load_all, reports, storage
 from workload.views import games, team_misc
 
 SF = "/root/testdata/sf0.001"
@@ -99,3 +99,11 @@ def test_small_blocks_are_bounded_and_positions_exact(spark, monkeypatch):
     assert len(rows) == 300 and len(list(folder.glob("part-*"))) <= 7
     monkeypatch.undo()
     assert W.rows_per_block(36_000_000, 500) == 36_000 and W.rows_per_block(400_000, 500) == 500
+
+
+def test_lines_landings_and_loads_make_their_rows_once(spark):
+    before = {label: len(staged(spark, label)) for label in ("raw-lines", "lines-shaped")}
+    storage.q11_lines(spark, SF).count()
+    # one table of lines for both landings; the distinct rows of each landing once
+    assert len(staged(spark, "raw-lines")) - before["raw-lines"] == 1
+    assert len(staged(spark, "lines-shaped")) - before["lines-shaped"] == 2

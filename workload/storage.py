@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hoopline.plans import ingest
-from hoopline.session import staging_root
+from hoopline.session import stage, staging_root
 from hoopline.sources import html, json_arrays, payloads, tables
 from workload import sql as S
 from workload.registry import query
@@ -441,11 +441,11 @@ LINE_ORDER = [
 ]
 
 
-def _land_lines(spark, sf, folder, earlier):
-    raw = raw_lines(spark, sf)
+def _land_lines(lines, folder, earlier):
+    raw = lines
     key = F.expr("try_cast(game_id as bigint)")
     if earlier:
-        dropped = raw_lines(spark, sf).where(key % 13 == 0).withColumn("game_id", F.concat(F.lit("V"), "game_id"))
+        dropped = lines.where(key % 13 == 0).withColumn("game_id", F.concat(F.lit("V"), "game_id"))
         raw = (
             raw.where(key % 11 != 0)
             .withColumn("spread", F.when(key % 7 == 0, F.col("spread") + 1).otherwise(F.col("spread")))
@@ -460,9 +460,10 @@ def _land_lines(spark, sf, folder, earlier):
 
 def _two_line_loads(spark, sf):
     folder = _folder(spark)
-    columns = raw_lines(spark, sf).schema
-    first = ingest.ingest_lines(spark, _land_lines(spark, sf, folder, True), columns, folder)
-    second = ingest.ingest_lines(spark, _land_lines(spark, sf, folder, False), columns, folder)
+    # Both landings, their broken records and the dropped games are made from the same lines: computed once, stored.
+    lines = stage(raw_lines(spark, sf), "raw-lines")
+    first = ingest.ingest_lines(spark, _land_lines(lines, folder, True), lines.schema, folder)
+    second = ingest.ingest_lines(spark, _land_lines(lines, folder, False), lines.schema, folder)
     return first, second
 
 
