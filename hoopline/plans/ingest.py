@@ -180,7 +180,8 @@ def ingest_boxscores(
     names = (f"team_{kind}_metrics", f"player_{kind}_metrics")
     paths = []
     for i, name in enumerate(names):
-        wanted = games_with_boxscores(logs, stored(spark, root, "gamelogs", name))
+        # Stored before it meets the documents: where no game is new, the plan sees that and leaves them unparsed.
+        wanted = stage(games_with_boxscores(logs, stored(spark, root, "gamelogs", name)), "wanted-games")
         rows = shape_boxscores(payloads, statistics, wanted, with_team=kind == "misc")[i]
         paths.append(write_table(rows, root, "gamelogs", name, "append"))
     return paths[0], paths[1]

@@ -107,3 +107,12 @@ def test_lines_landings_and_loads_make_their_rows_once(spark):
     # one table of lines for both landings; the distinct rows of each landing once
     assert len(staged(spark, "raw-lines")) - before["raw-lines"] == 1
     assert len(staged(spark, "lines-shaped")) - before["lines-shaped"] == 2
+
+
+def test_boxscore_loads_make_documents_once(spark):
+    before = {label: set(staged(spark, label)) for label in ("landed-boxscores", "wanted-games")}
+    storage.q11_boxscores(spark, SF).count()
+    made = {label: set(staged(spark, label)) - seen for label, seen in before.items()}
+    assert len(made["landed-boxscores"]) == 1
+    # two loads of two tables; the second load wants no games
+    assert sorted(spark.read.parquet(str(path)).count() > 0 for path in made["wanted-games"]) == [False, False, True, True]
