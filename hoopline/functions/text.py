@@ -46,10 +46,18 @@ def iso_date(text: Column | str) -> Column:
 
 
 def mixed_date(text: Column | str) -> Column:
-    """Dates written ``APR 9, 2023`` or ``2023-04-09``, the latter with or without a time after it."""
+    """Dates written ``APR 9, 2023`` or ``2023-04-09``, the latter with or without a time after it.
+
+    A failed parse raises and drops an exception inside Spark, which costs more than the rest of the row, so each
+    format only meets texts of its shape: a digit first cannot be a month's name, and only a day that was found is read.
+    """
     value = F.trim(_col(text))
     day = F.regexp_extract(value, r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})(?:[T ].*)?$", 1)
-    return F.coalesce(F.try_to_date(F.initcap(value), "MMM d, yyyy"), F.try_to_date(day, "yyyy-M-d"))
+    numeric = F.substring(value, 1, 1).between("0", "9")
+    return F.coalesce(
+        F.when(~numeric, F.try_to_date(F.initcap(value), "MMM d, yyyy")),
+        F.when(day != "", F.try_to_date(day, "yyyy-M-d")),
+    )
 
 
 def season_year(season_id: Column | str) -> Column:

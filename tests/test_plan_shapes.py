@@ -116,3 +116,9 @@ def test_boxscore_loads_make_documents_once(spark):
     assert len(made["landed-boxscores"]) == 1
     # two loads of two tables; the second load wants no games
     assert sorted(spark.read.parquet(str(path)).count() > 0 for path in made["wanted-games"]) == [False, False, True, True]
+
+
+def test_player_log_loads_make_the_logs_once(spark):
+    before = set(staged(spark, "landed-logs"))
+    storage.q11_player_logs(spark, SF).count()
+    assert len(set(staged(spark, "landed-logs")) - before) == 1

@@ -288,7 +288,8 @@ where s_suppkey % 10 <> 3""",
 def q11_player_logs(spark, sf):
     """Three loads: half the seasons, everything, everything again; the last must add nothing."""
     root = _folder(spark)
-    logs, active = player_logs(spark, sf), active_players(spark, sf)
+    # All loads land rows of the same logs, so the logs are made once and stored.
+    logs, active = stage(player_logs(spark, sf), "landed-logs"), active_players(spark, sf)
     for part in (logs.filter(F.year("GAME_DATE") < 1998), logs, logs):
         ingest.ingest_player_logs(log_payloads(part), LOG_COLUMNS, active, LOG_TARGET, root)
     return tables.read_table(spark, root, "gamelogs", "player_gamelogs", LOG_TARGET)
