@@ -81,45 +81,48 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _groups(batches: Iterator[pa.RecordBatch]):
-    """Consecutive pieces of one (file, block) as lists, in order."""
-    key, rows = None, []
-    for batch in batches:
-        cols = batch.to_pydict()
-        for row in zip(*cols.values()):
-            record = dict(zip(cols.keys(), row))
-            k = (record["file"], record["block"])
-            if k != key and rows:
-                yield key, rows
-                rows = []
-            key = k
-            rows.append(record)
-    if rows:
-        yield key, rows
+#: Bytes of record texts that a task gathers before it hands them on.
+_OUT_BYTES = 1 << 20
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, bool, bool]]:
+    """(piece's row, whether it is the first of its (file, block), whether the last of its file), in order.
 
+    One batch at a time, and one row ahead to see where a block ends: a block is never held as a whole.
+    """
+    held, key = None, None
+
+    def last_of_file(r: dict) -> bool:
+        return r["block"] + r["length"] >= r["size"]
 
-def _last_of_file(rows: list[dict], index: int) -> bool:
-    r = rows[index]
-    return index == len(rows) - 1 and r["block"] + r["length"] >= r["size"]
+    for batch in batches:
+        names = batch.schema.names
+        for values in zip(*(column.to_pylist() for column in batch.columns)):
+            row = dict(zip(names, values))
+            same = held is not None and (row["file"], row["block"]) == (held["file"], held["block"])
+            if held is not None:
+                yield held, (held["file"], held["block"]) != key, not same and last_of_file(held)
+                key = (held["file"], held["block"])
+            held = row
+    if held is not None:
+        yield held, (held["file"], held["block"]) != key, last_of_file(held)
 
 
 _TRANSITION = "file string, block long, s_false boolean, d_false long, s_true boolean, d_true long"
 
 
 def _transitions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    out = []
-    for (file, block), rows in _groups(batches):
-        ends = []
-        for start in (False, True):
-            state, depth = start, 0
-            for i, r in enumerate(rows):
-                state, depth = walk(r["piece"] or "", state, depth, not _last_of_file(rows, i))
-            ends.append((state, depth))
-        out.append((file, block, ends[0][0], ends[0][1], ends[1][0], ends[1][1]))
+    out, ends = [], {}
+    for r, first, last in _rows(batches):
+        if first:
+            ends = {start: (start, 0) for start in (False, True)}
+            out.append((r["file"], r["block"], ends))
+        for start, (state, depth) in ends.items():
+            ends[start] = walk(r["piece"] or "", state, depth, not last)
     names = ["file", "block", "s_false", "d_false", "s_true", "d_true"]
-    yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out]) for i in range(6)], names=names) if out else \
-        pa.RecordBatch.from_pylist([], schema=pa.schema([("file", pa.string()), ("block", pa.int64()), ("s_false", pa.bool_()),
-                                                         ("d_false", pa.int64()), ("s_true", pa.bool_()), ("d_true", pa.int64())]))
+    types = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.bool_(), pa.int64()]
+    rows = [(file, block, *ends[False], *ends[True]) for file, block, ends in out]
+    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
 
 
 _STARTS = "file string, block long, in_string boolean, depth long"
@@ -145,35 +148,45 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     ``ordinal`` counts record starts in the block from 0; the part of a record opened in an earlier block has -1.
     """
-    out: dict[str, list] = {k: [] for k in ("file", "block", "ordinal", "whole", "text")}
+    schema = pa.schema([
+        ("file", pa.string()), ("block", pa.int64()), ("ordinal", pa.int64()), ("whole", pa.bool_()), ("text", pa.string())])
+    out: dict[str, list] = {k: [] for k in schema.names}
+    size = 0
 
     def emit(*values):
+        nonlocal size
         for k, v in zip(out, values):
             out[k].append(v)
+        size += len(values[-1])
 
-    for (file, block), rows in _groups(batches):
-        state, depth = rows[0]["in_string"], rows[0]["depth"]
-        ordinal, current, held = -1, (-1 if depth >= 2 else None), []
-        for i, r in enumerate(rows):
-            piece, closes = r["piece"] or "", not _last_of_file(rows, i)
-            text = piece + ("}" if closes else "")
-            events: list = []
-            state, depth = walk(piece, state, depth, closes, events)
-            at = 0
-            for offset, kind in events:
-                if kind == 1:
-                    ordinal += 1
-                    current, held, at = ordinal, [], offset
-                elif current is not None:
-                    held.append(text[at:offset])
-                    emit(file, block, current, current >= 0, "".join(held))
-                    current, held = None, []
+    where, state, depth, ordinal, current, held = None, False, 0, -1, None, []
+    for r, first, last in _rows(batches):
+        if first:
             if current is not None:
-                held.append(text[at:])
+                emit(*where, current, False, "".join(held))
+            where, state, depth, ordinal = (r["file"], r["block"]), r["in_string"], r["depth"], -1
+            current, held = (-1 if depth >= 2 else None), []
+        piece = r["piece"] or ""
+        text = piece if last else piece + "}"
+        events: list = []
+        state, depth = walk(piece, state, depth, not last, events)
+        at = 0
+        for offset, kind in events:
+            if kind == 1:
+                ordinal += 1
+                current, held, at = ordinal, [], offset
+            elif current is not None:
+                held.append(text[at:offset])
+                emit(*where, current, current >= 0, "".join(held))
+                current, held = None, []
         if current is not None:
-            emit(file, block, current, False, "".join(held))
-    yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
-        ("file", pa.string()), ("block", pa.int64()), ("ordinal", pa.int64()), ("whole", pa.bool_()), ("text", pa.string())]))
+            held.append(text[at:])
+        if size >= _OUT_BYTES:
+            yield pa.RecordBatch.from_pydict(out, schema=schema)
+            out, size = {k: [] for k in schema.names}, 0
+    if current is not None:
+        emit(*where, current, False, "".join(held))
+    yield pa.RecordBatch.from_pydict(out, schema=schema)
 
 
 def read_json_arrays(spark: SparkSession, path: str) -> DataFrame:

@@ -3,8 +3,10 @@
 import json
 import random
 
+import pyarrow as pa
 from pyspark.sql import types as T
 
+from hoopline.sources import json_arrays
 from hoopline.sources.json_arrays import read_array_records, read_json_arrays, walk
 
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("s", T.StringType())])
@@ -50,3 +52,28 @@ def test_records_that_do_not_fit_are_rejects(spark, tmp_path):
     assert landed.counts == {"documents": 4, "rejected": 2, "parsed": 2}
     assert sorted((r.ordinal, r.id, r.s) for r in landed.rows.collect()) == [(0, 1, "ok}"), (3, 3, None)]
     assert sorted(r.reason for r in landed.rejects.collect()) == ["malformed", "malformed"]
+
+
+def test_a_block_is_walked_without_being_held():
+    record = '{"k": "' + "x" * 1000
+    taken = 0
+
+    def batches(n=100, rows=100):
+        nonlocal taken
+        for b in range(n):
+            taken += 1
+            pieces = [("," if b or i else "[") + record + '"' for i in range(rows)]
+            if b == n - 1:
+                pieces.append("]")
+            size = n * rows * 2000
+            yield pa.RecordBatch.from_pydict({
+                "file": ["f"] * len(pieces), "block": [0] * len(pieces), "size": [size] * len(pieces), "length": [size] * len(pieces),
+                "piece": pieces, "in_string": [False] * len(pieces), "depth": [0] * len(pieces)})
+
+    made = json_arrays._parts(batches())
+    rows = next(made).num_rows
+    assert taken < 30  # the first records leave long before the block's end
+    rows += sum(b.num_rows for b in made)
+    assert (rows, taken) == (100 * 100, 100)
+    (end,) = [b.to_pylist() for b in json_arrays._transitions(batches())]
+    assert [(r["s_false"], r["d_false"]) for r in end] == [(False, 0)]
