@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hoopline.operators import windows as W
 from hoopline.plans import predictions as P
 from hoopline.plans.boxscore import MISC_METRICS, feature_matrix, side_rows
-from workload import load_all, reports, storage
+from workload import betting, load_all, reports, storage
 from workload.views import games, team_misc
 
 SF = "/root/testdata/sf0.001"
@@ -122,3 +122,10 @@ def test_player_log_loads_make_the_logs_once(spark):
     before = set(staged(spark, "landed-logs"))
     storage.q11_player_logs(spark, SF).count()
     assert len(set(staged(spark, "landed-logs")) - before) == 1
+
+
+def test_rows_are_stored_before_their_window_keys_are_counted(spark):
+    before = {label: len(staged(spark, label)) for label in ("team-games", "game-rows")}
+    betting.a2(spark, SF)
+    # counting the keys of four windows used to make all rows again each time
+    assert all(len(staged(spark, label)) - n == 1 for label, n in before.items())
