@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from hoopline.session import stage
 
-# Rows of one key that a single task sorts without trouble.
-ROWS_PER_TASK = 4_000_000
+# Rows of one key that a single task sorts without trouble: of some 300 bytes each, and a task gets several keys.
+ROWS_PER_TASK = 500_000
 # Blocks that rows are cut into at most while a block holds fewer rows than that: a task for a few hundred rows costs
 # more than it sorts.
 MAX_BLOCKS = 1000
@@ -130,10 +130,11 @@ def over_rows(
         (hot,) = find_hot(df, keys, rows_per_task=rows_per_task)
     if hot.keys is None:
         return _within_one_task(df, keys, order, measures)
-    # Both ways read the input, so it is stored once; whether the list of keys is broadcast follows its size.
-    df, listed = stage(df, "window-input"), hot.keys
+    # Both ways read the input, so it is stored once, with the salt that the hot rows need; whether the list of keys is
+    # broadcast follows its size.
+    df, listed = stage(df.withColumn("__salt", F.monotonically_increasing_id()), "window-input"), hot.keys
     same = _all(F.col(f"`{k}`").eqNullSafe(F.col(f"__hot{i}")) for i, k in enumerate(keys))
-    usual = _within_one_task(df.join(listed, same, "left_anti"), keys, order, measures)
+    usual = _within_one_task(df.join(listed, same, "left_anti").drop("__salt"), keys, order, measures)
     busy = _across_tasks(
         df.join(listed, same, "left_semi"), keys, order, measures, hot.total, rows_per_task
     )
@@ -166,9 +167,12 @@ def with_positions(
     """Add ``__rn``, the 0-based position of each row within its key, without one task per key.
 
     The salt is written out before the range exchange and the partition number after it, so both are
-    plain stored values from then on and re-run tasks cannot move rows between ranges.
+    plain stored values from then on and re-run tasks cannot move rows between ranges. Stored rows that have a
+    ``__salt`` already are not stored again.
     """
-    salted = stage(df.withColumn("__salt", F.monotonically_increasing_id()), "busy-rows")
+    salted = df
+    if "__salt" not in df.columns:
+        salted = stage(df.withColumn("__salt", F.monotonically_increasing_id()), "busy-rows")
     blocks = max(1, ceil(total / rows_per_block(total, rows_per_task)))
     ranged = stage(
         salted.repartitionByRange(
@@ -205,7 +209,7 @@ def _attach(df: DataFrame, small: DataFrame, on: Sequence[str], values: Sequence
 
 
 def _across_tasks(df, keys, order, measures, total, rows_per_task) -> DataFrame:
-    columns = df.columns
+    columns = [c for c in df.columns if c != "__salt"]
     reach = max([-m.frame.start for m in measures if m.frame.start is not None], default=0)
     width = max(rows_per_block(total, rows_per_task), reach)
     ranked = with_positions(df, keys, order, total, rows_per_task).withColumn(

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from hoopline.operators import windows
 from hoopline.operators.windows import (
     Measure,
     find_hot,
@@ -110,3 +111,14 @@ def test_latest_rows(spark):
     assert got == {("a", 4), ("a", 3), ("b", 9)}
     plan = latest_rows(df, ["k"], ["d"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_a_key_of_600_000_rows_is_split_and_its_rows_are_stored_once(spark, monkeypatch):
+    df = spark.range(600_000).select(F.lit("a").alias("k"), F.col("id").alias("d"))
+    (hot,) = find_hot(df, ["k"])
+    assert hot.keys is not None and hot.total == 600_000
+    stored, real = [], windows.stage
+    monkeypatch.setattr(windows, "stage", lambda rows, label: stored.append(label) or real(rows, label))
+    got = over_rows(df, ["k"], ["d"], [Measure("prev", "lag", "d")], hot=hot)
+    assert got.filter("prev = d - 1").count() == 599_999 and got.count() == 600_000
+    assert sorted(stored) == ["busy-blocks", "window-input"]
