@@ -18,6 +18,8 @@ from hoopline.llm.blocks import mix
 
 BITS = 26
 SLICES = 64
+#: The bits of a byte, first one highest.
+_BIT = np.array([128 >> k for k in range(8)], np.uint8)
 
 
 def _places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -27,11 +29,11 @@ def _places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    flags = np.zeros(1 << BITS, bool)
+    bits = np.zeros((1 << BITS) // 8, np.uint8)
     for batch in batches:
         for places in _places(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)):
-            flags[places] = True
-    parts = np.packbits(flags).reshape(SLICES, -1)
+            np.bitwise_or.at(bits, places >> 3, _BIT[places & 7])
+    parts = bits.reshape(SLICES, -1)
     some = [k for k in range(SLICES) if parts[k].any()]
     packed = [zstandard.compress(parts[k].tobytes(), 1) for k in some]
     yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(packed, pa.binary())], ["slice", "bits"])

@@ -1,3 +1,7 @@
+import tracemalloc
+import pyarrow as pa
+import zstandard
+from hoopline.llm import bloom
 import hashlib
 import random
 
@@ -96,3 +100,18 @@ def test_shingles_are_characters():
     text = "Zäöü ßéèê x".encode()
     line, hashes = line_shingles(np.frombuffer(text, np.uint8), np.array([0]), np.array([len(text)]))
     assert len(hashes) == len("Zäöü ßéèê x") - SHINGLE + 1 and set(line) == {0}
+
+
+def test_the_filter_of_wanted_lines_is_filled_in_place():
+    values = np.random.default_rng(5).integers(-(2**63), 2**63 - 1, 5000)
+    batch = pa.RecordBatch.from_arrays([pa.array(values)], ["ref"])
+    tracemalloc.start()
+    (made,) = bloom._set_bits(iter([batch, batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * (1 << bloom.BITS) // 8
+    bits = np.zeros((bloom.SLICES, (1 << bloom.BITS) // 8 // bloom.SLICES), np.uint8)
+    for k, packed in zip(*(made.column(i).to_pylist() for i in (0, 1))):
+        bits[k] = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    assert bloom.may_contain(bits.tobytes(), values).all()
+    assert not bloom.may_contain(bits.tobytes(), np.arange(2000)).any()
