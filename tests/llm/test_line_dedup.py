@@ -1,12 +1,12 @@
-import tracemalloc
-import pyarrow as pa
-import zstandard
-from hoopline.llm import bloom
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
+import zstandard
 
+from hoopline.llm import bloom
 from hoopline.llm.line_dedup import SHINGLE, band_hashes, deduplicated_lines, drop_duplicate_lines, line_shingles
 
 
