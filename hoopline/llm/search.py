@@ -6,20 +6,22 @@ documents with a term, ``tf`` its count in the document. A term weighs ``w = flo
 document's ``m = 25 + (75 n N) div L``; a posting's impact is ``w * ((10^9 tf) div (1000 tf + 8 m))``. A query's
 score for a document sums the impacts of the query's terms, a term as often as the query repeats it.
 
-Method (NRA, no random access): each query term's postings are read in impact order (position in the term's
-list: impact descending, then doc_id, then row), all lists of all live queries to the same depth, which doubles
-each round. A document seen so far has a lower bound (the impacts read) and an upper bound (plus, for each term
-not yet seen in it, the impact at the head of that term's unread list); an unseen document is bounded by the sum
-of the heads. A query is settled when its 10 best lower bounds are exact and nothing else can reach or tie
-ahead of the 10th - every other document's upper bound is below it (or equal with a later doc_id), and the
-unseen bound is below it - or, with fewer than 10 positive documents, when nothing unread is worth anything
-and every seen document is exact. Settled queries leave; the rest read deeper. Scores are exact: reading a
-whole list always settles.
-
-Scale: postings are counted per (row, term) with map-side combining; positions within a term come from a
-range-partitioned sort with per-block offsets, so a very common term spreads over many tasks; the 10 best per
-query use Spark's window group limit, which keeps 10 rows per task before the shuffle; bounds of the rest are a
-join with one row per query. Reads per query are bounded by depth times terms; no pair of documents is formed.
+Method (NRA, no random access), over document shards: documents are dealt to shards of about ``POSTINGS_PER_CELL``
+postings, and each cell (a shard and a block of queries) finds the 10 best documents of its shard for each of its
+queries. There each query term's postings are read in impact order (impact descending, then doc_id, then row), all
+lists of a query to the same depth, which doubles each round. A document seen so far has a lower bound (the impacts
+read) and an upper bound (plus, for each term not yet seen in it, the impact at the head of that term's unread
+list); an unseen document is bounded by the sum of the heads. A query is settled when its 10 best lower bounds are
+exact and nothing else can reach or tie ahead of the 10th - every other document's upper bound is below it (or equal
+with a later doc_id), and the unseen bound is below it - or, with fewer than 10 positive documents, when nothing
+unread is worth anything and every seen document is exact. Scores are exact: reading a whole list always settles.
+The 10 best of all documents are among the 10 best of the shards.
+
+Scale: a document's terms are counted where it is read, and stored once; weights (which need all documents) come from
+a count per wanted term. Documents are dealt to cells, not postings, and queries beside them: a row per query term and
+shard. A cell's memory is bounded by ``POSTINGS_PER_CELL`` and ``TERMS_PER_BLOCK`` (and by one document or query, if
+longer), and more documents or queries make more cells. The last ranking gets 10 rows per query and shard, which
+Spark's window group limit cuts to 10 per task before the shuffle. No pair of documents is formed.
 
 Edge cases: null and empty texts have no terms and are never found; a query without terms, or whose terms are
 nowhere, returns no rows; a null doc_id ranks as the smallest; repeated document rows are separate documents
@@ -29,11 +31,16 @@ item_id are separate queries whose ranks both start at 1; columns other than ite
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hoopline.llm.frames import stage
-from hoopline.operators.windows import with_positions
+from hoopline.llm.frames import discard, slices, stage
 
 # Fixed values of the scoring contract.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -42,9 +49,13 @@ BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOP_K = 10
 #: Postings per term read in the first round; each round doubles it.
 FIRST_DEPTH = 32
-#: Postings one task numbers when positions within terms are made.
-ROWS_PER_TASK = 500_000
+#: Postings of the documents of one shard, about.
+POSTINGS_PER_CELL = 500_000
+#: Query terms of one block of queries, about.
+TERMS_PER_BLOCK = 200_000
 _SMALLEST = -(2**63)
+#: For each byte of a text: A-Z in lower case, what lies between terms as a space.
+_PLAIN = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c > 0x7F or chr(c).isalnum() else 0x20 for c in range(256))
 
 
 def terms(text: Column) -> Column:
@@ -52,46 +63,34 @@ def terms(text: Column) -> Column:
     return F.array_remove(F.split(lower, BETWEEN), "")
 
 
-class _Scratch:
-    """Tables stored for one run, each deleted as soon as nothing later reads it."""
-
-    def __init__(self, spark):
-        self.spark = spark
-        self.paths: dict[int, str] = {}
-
-    def keep(self, df: DataFrame, label: str) -> DataFrame:
-        held = stage(df, label)
-        self.paths[id(held)] = held.inputFiles()[0].rsplit("/", 1)[0] if held.inputFiles() else ""
-        return held
-
-    def drop(self, *held: DataFrame) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for df in held:
-            if path := self.paths.pop(id(df), ""):
-                target = jvm.org.apache.hadoop.fs.Path(path)
-                target.getFileSystem(conf).delete(target, True)
-
-
-def postings(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(rid, doc_id, n, term, tf) per document row and wanted term, plus one row with a null term per row.
-
-    The text is tokenized once: terms that no query wants become null before the shuffle and merge, map-side, into
-    the row's null-term row, which carries ``n`` for the corpus sizes.
-    """
-    flagged = wanted.select("term", F.lit(True).alias("__wanted"))
-    return (
-        docs.select(
-            F.monotonically_increasing_id().alias("rid"), docs["doc_id"].cast("long").alias("doc_id"), terms(docs["text"]).alias("t")
-        )
-        .select(
-            "rid", "doc_id", F.size("t").cast("long").alias("n"),
-            F.explode(F.concat("t", F.array(F.lit(None).cast("string")))).alias("term"),
-        )
-        .join(flagged, "term", "left")
-        .groupBy("rid", "doc_id", "n", F.when(F.col("__wanted"), F.col("term")).alias("term"))
-        .agg(F.count(F.lit(1)).alias("tf"))
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each document's text (last column) the number of terms, the distinct terms, and how often each occurs."""
+    for batch in slices(batches):
+        sizes, words, tfs, ends = [], [], [], [0]
+        for text in batch.column(2).cast(pa.large_binary()).to_pylist():
+            found = text.translate(_PLAIN).split() if text else []
+            counts = Counter(found)
+            sizes.append(len(found))
+            words.extend(counts)
+            tfs.extend(counts.values())
+            ends.append(len(words))
+        ends = pa.array(ends, pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
+                pa.ListArray.from_arrays(ends, pa.array(words, pa.binary()).cast(pa.string())),
+                pa.ListArray.from_arrays(ends, pa.array(tfs, pa.int64())),
+            ],
+            names=["rid", "doc_id", "n", "terms", "tfs"],
+        )
+
+
+def counted_documents(docs: DataFrame) -> DataFrame:
+    """(rid, doc_id, n, terms, tfs) per document row: how many terms, the distinct ones and their counts."""
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("rid"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")
     )
+    return rows.mapInArrow(_counted, "rid long, doc_id long, n long, terms array<string>, tfs array<long>")
 
 
 def query_terms(items: DataFrame) -> DataFrame:
@@ -109,182 +108,128 @@ def query_terms(items: DataFrame) -> DataFrame:
     )
 
 
-def impacts(docs: DataFrame, wanted: DataFrame, scratch: _Scratch) -> DataFrame | None:
-    """Postings of the wanted terms with their impacts, numbered within each term in reading order; stored.
+Postings = tuple[np.ndarray, np.ndarray]
 
-    Positions: one range-partitioned sort on (term, impact descending, doc_id, row) over ``ROWS_PER_TASK``-row
-    blocks, a count per (term, block), and running offsets; a common term spans many blocks.
-    """
-    every = scratch.keep(postings(docs, wanted), "search-postings")
-    sizes = every.where(F.col("term").isNull()).agg(F.count(F.when(F.col("n") > 0, 1)), F.sum("n")).first()
-    big_n, big_l = int(sizes[0] or 0), int(sizes[1] or 0)
-    post = every.where(F.col("term").isNotNull())
-    df = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    w = F.floor(F.lit(1000.0) * F.log((F.lit(2.0 * big_n + 2)) / (F.lit(2.0) * F.col("df") + F.lit(1.0)))).cast("long")
-    m = F.lit(25) + F.expr(f"(75L * n * {big_n}L) div {max(big_l, 1)}L")
-    scored = (
-        post.join(df.select("term", w.alias("w")), "term")
-        .withColumn("__m", m)
-        .select(
-            "term",
-            "rid",
-            "doc_id",
-            (F.col("w") * F.expr("(1000000000L * tf) div (1000L * tf + 8L * __m)")).alias("impact"),
-        )
-    )
-    total = post.count()
-    if total == 0:
-        scratch.drop(every)
-        return None
-    order = [F.col("term"), F.col("impact").desc(), F.coalesce("doc_id", F.lit(_SMALLEST)), F.col("rid")]
-    ranged = scratch.keep(
-        scored.repartitionByRange(max(1, -(-total // ROWS_PER_TASK)), *order).withColumn("block", F.spark_partition_id()),
-        "search-ranged",
-    )
-    scratch.drop(every)
-    starts = (
-        ranged.groupBy("term", "block")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("start", F.coalesce(F.sum("rows").over(
-            Window.partitionBy("term").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    )
-    here = Window.partitionBy("term", "block").orderBy(*order[1:])
-    numbered = scratch.keep(
-        ranged.join(starts.select("term", "block", "start"), ["term", "block"])
-        .select("term", "rid", "doc_id", "impact", (F.col("start") + F.row_number().over(here) - 1).alias("pos")),
-        "search-impacts",
-    )
-    scratch.drop(ranged)
-    return numbered
 
+def best_of_lists(lists: list[Postings], n_docs: int, k: int, depth: int) -> list[tuple[int, int]]:
+    """(document, score) of the ``k`` best positive documents, by NRA.
 
-def _order_key() -> list[Column]:
-    return [F.col("lower").desc(), F.coalesce("doc_id", F.lit(_SMALLEST)), F.col("rid")]
+    ``lists``: for each query term the documents that hold it (numbers below ``n_docs``) and what it is worth there,
+    highest first. Of equal scores the lower document comes first.
+    """
+    lower, found = np.zeros(n_docs, np.int64), np.zeros(n_docs, bool)
+    lo, hi = 0, depth
+    while True:
+        for at, worth in lists:
+            lower[at[lo:hi]] += worth[lo:hi]
+            found[at[lo:hi]] = True
+        # a document's upper bound: the heads of all unread lists, but for those it was read in
+        heads = [(at[:hi], worth[hi]) for at, worth in lists if len(at) > hi]
+        unseen = sum(int(head) for _, head in heads)
+        passed = np.zeros(n_docs, np.int64)
+        for at, head in heads:
+            passed[at] += head
+        seen = np.flatnonzero(found)
+        low = lower[seen]
+        high = low + (unseen - passed[seen])
+        near = np.arange(len(seen))
+        if len(seen) > k:
+            near = np.flatnonzero(low >= np.partition(low, len(low) - k)[len(low) - k])
+        best = near[np.lexsort((seen[near], -low[near]))][:k]
+        if len(best) == k and low[best[-1]] > 0:
+            last = best[-1]
+            ahead = (high > low[last]) | ((high == low[last]) & (seen < seen[last]))
+            ahead[best] = False
+            settled = (low[best] == high[best]).all() and not ahead.any() and unseen < low[last]
+        else:
+            settled = unseen == 0 and not ((high > 0) & (low != high)).any()
+        if settled:
+            return [(int(seen[i]), int(low[i])) for i in best if low[i] > 0]
+        lo, hi = hi, hi * 2
+
+
+def _array(table: pa.Table, name: str) -> pa.Array:
+    return pa.concat_arrays(table.column(name).chunks)
+
+
+def _best_of_cell(k: int, depth: int, big_n: int, big_l: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """(qid, rid, doc_id, score) of the ``k`` best of a shard's documents for each query of a block."""
+
+    def run(docs: pa.Table, queries: pa.Table) -> pa.Table:
+        out = {"qid": [], "row": [], "score": []}
+        if docs.num_rows and queries.num_rows:
+            # documents are numbered in the order of equal scores
+            order = np.lexsort((_array(docs, "rid").to_numpy(), _array(docs, "doc_id").fill_null(_SMALLEST).to_numpy()))
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            words = _array(queries, "term").dictionary_encode()
+            wanted = words.indices.to_numpy()
+            held = _array(docs, "terms")
+            term = pc.index_in(held.flatten(), value_set=words.dictionary).fill_null(-1).to_numpy()
+            owner = np.repeat(np.arange(len(order)), pc.list_value_length(held).to_numpy())
+            some = term >= 0
+            term, owner, tf = term[some], owner[some], _array(docs, "tfs").flatten().to_numpy()[some]
+            weights = np.zeros(len(words.dictionary), np.int64)
+            weights[wanted] = _array(queries, "w").to_numpy()
+            m = 25 + (75 * _array(docs, "n").to_numpy() * big_n) // big_l
+            impact = weights[term] * ((1_000_000_000 * tf) // (1000 * tf + 8 * m[owner]))
+            reading = np.lexsort((place[owner], -impact, term))
+            at, impact = place[owner][reading], impact[reading]
+            edges = np.searchsorted(term[reading], np.arange(len(weights) + 1))
+            qids, repeats = _array(queries, "qid").to_numpy(), _array(queries, "q").to_numpy()
+            by_query = np.argsort(qids, kind="stable")
+            for mine in np.split(by_query, np.flatnonzero(np.diff(qids[by_query])) + 1):
+                spans = [(slice(edges[t], edges[t + 1]), q) for t, q in zip(wanted[mine], repeats[mine])]
+                lists = [(at[span], impact[span] * q) for span, q in spans]
+                for document, score in best_of_lists(lists, len(order), k, depth):
+                    out["qid"].append(int(qids[mine[0]]))
+                    out["row"].append(int(order[document]))
+                    out["score"].append(score)
+        rows = pa.array(out["row"], pa.int64())
+        return pa.table(
+            {
+                "qid": pa.array(out["qid"], pa.int64()), "rid": docs.column("rid").take(rows),
+                "doc_id": docs.column("doc_id").take(rows), "score": pa.array(out["score"], pa.int64()),
+            }
+        )
+
+    return run
+
+
+def _dealt(key: str, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 
 
 def ranked_search(docs: DataFrame, items: DataFrame, k: int = TOP_K) -> DataFrame:
-    """Per query: item_id, rank (1..), doc_id, score of its ``k`` best documents with a positive score.
-
-    State per round: one row per (query, document) seen and still able to enter the top ``k``: its lower bound and
-    the indices of the query terms in whose read prefix it was found. A document whose upper bound falls below the
-    ``k``-th lower bound of its query can never enter (lower bounds only grow, upper bounds only fall); it leaves
-    the state for a table of such pairs, which keeps it from coming back with a partial sum.
-    """
+    """Per query: item_id, rank (1..), doc_id, score of its ``k`` best documents with a positive score."""
     spark = docs.sparkSession
     empty = spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     qt = stage(query_terms(items), "search-query-terms")
-    scratch = _Scratch(spark)
-    scored = impacts(docs, qt.select("term").distinct(), scratch)
-    if scored is None:
-        return empty
-    lengths = stage(scored.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "search-lengths")
-    # Terms found nowhere add nothing; the others get an index within their query.
-    live = qt.join(lengths, "term").withColumn("ti", F.row_number().over(Window.partitionBy("qid").orderBy("term")) - 1)
-    state = dead = None
-    done = []
-    lo, hi, rnd = 0, FIRST_DEPTH, 0
-    doc = F.coalesce("doc_id", F.lit(_SMALLEST))
-    while True:
-        live = stage(live, f"search-live-{rnd}")
-        if live.isEmpty():
-            break
-        qids = live.select("qid").distinct()
-        read = (
-            live.select("qid", "term", "q", "ti")
-            .join(scored.where((F.col("pos") >= lo) & (F.col("pos") < hi)), "term")
-            .select("qid", "rid", "doc_id", "ti", (F.col("q") * F.col("impact")).alias("c"))
-        )
-        if dead is not None:
-            read = read.join(dead, ["qid", "rid"], "left_anti")
-        fresh = read.groupBy("qid", "rid", "doc_id").agg(F.sum("c").alias("lower"), F.collect_list("ti").alias("seen"))
-        merged = fresh if state is None else (
-            state.select("qid", "rid", "doc_id", "lower", "seen").join(qids, "qid", "left_semi").unionByName(fresh)
-            .groupBy("qid", "rid", "doc_id")
-            .agg(F.sum("lower").alias("lower"), F.flatten(F.collect_list("seen")).alias("seen"))
-        )
-        # Head of each live term's unread list (0 once read to its end), as an array by term index per query.
-        heads = scored.where(F.col("pos") == hi).select("term", F.col("impact").alias("head"))
-        per_query = (
-            live.join(heads, "term", "left")
-            .select("qid", "ti", (F.col("q") * F.coalesce("head", F.lit(0))).alias("qh"))
-            .groupBy("qid")
-            .agg(F.sort_array(F.collect_list(F.struct("ti", "qh"))).alias("__h"), F.sum("qh").alias("unseen"))
-            .select("qid", F.transform("__h", lambda x: x["qh"]).alias("heads"), "unseen")
-        )
-        heads_seen = F.aggregate("seen", F.lit(0).cast("long"), lambda acc, i: acc + F.element_at("heads", i + 1))
-        before = state
-        state = scratch.keep(
-            merged.join(per_query, "qid").withColumn("upper", F.col("lower") + F.col("unseen") - heads_seen).drop("heads"),
-            f"search-state-{rnd}",
-        )
-        if before is not None:
-            scratch.drop(before)
-        rn = F.row_number().over(Window.partitionBy("qid").orderBy(*_order_key()))
-        top = stage(state.withColumn("rank", rn).where(F.col("rank") <= k), f"search-top-{rnd}")
-        kth = top.where(F.col("rank") == k).select(
-            "qid", F.col("lower").alias("s_k"), doc.alias("d_k"), F.col("rid").alias("r_k")
-        )
-        summary = top.groupBy("qid").agg(
-            F.sum(F.when(F.col("lower") > 0, 1).otherwise(0)).alias("positive"),
-            F.min(F.col("lower") == F.col("upper")).alias("top_exact"),
-        )
-        ahead = (F.col("upper") > F.col("s_k")) | (
-            (F.col("upper") == F.col("s_k")) & ((doc < F.col("d_k")) | ((doc == F.col("d_k")) & (F.col("rid") < F.col("r_k"))))
-        )
-        in_top = (F.col("lower") > F.col("s_k")) | (
-            (F.col("lower") == F.col("s_k")) & ((doc < F.col("d_k")) | ((doc == F.col("d_k")) & (F.col("rid") <= F.col("r_k"))))
-        )
-        threats = (
-            state.join(kth, "qid", "left")
-            .groupBy("qid")
-            .agg(
-                F.sum(F.when(F.col("s_k").isNotNull() & ~in_top & ahead, 1).otherwise(0)).alias("threats"),
-                F.sum(F.when((F.col("upper") > 0) & (F.col("lower") != F.col("upper")), 1).otherwise(0)).alias("inexact"),
-                F.first("unseen").alias("unseen"),
-            )
-        )
-        verdict = (
-            summary.join(threats, "qid")
-            .join(kth, "qid", "left")
-            .select(
-                "qid",
-                F.when(
-                    F.col("positive") >= k,
-                    F.col("top_exact") & (F.col("threats") == 0) & (F.col("unseen") < F.col("s_k")),
-                )
-                .otherwise((F.col("unseen") == 0) & (F.col("inexact") == 0))
-                .alias("settled"),
-            )
-        )
-        # Queries whose candidates are all gone have no summary row: settled with no result.
-        settled = stage(
-            qids.join(verdict, "qid", "left").where(F.coalesce("settled", F.lit(True))).select("qid"),
-            f"search-settled-{rnd}",
-        )
-        done.append(
-            top.join(settled, "qid", "left_semi")
-            .where(F.col("lower") > 0)
-            .select("qid", F.col("rank").cast("int").alias("rank"), F.col("doc_id"), F.col("lower").alias("score"))
-        )
-        out = state.join(kth, "qid", "left").where(F.col("upper") < F.col("s_k")).select("qid", "rid")
-        before_dead = dead
-        dead = scratch.keep(out if dead is None else dead.unionByName(out), f"search-dead-{rnd}")
-        if before_dead is not None:
-            scratch.drop(before_dead)
-        keep_open = state.join(settled, "qid", "left_anti").join(kth, "qid", "left").where(
-            F.col("s_k").isNull() | (F.col("upper") >= F.col("s_k"))
-        ).drop("s_k", "d_k", "r_k")
-        before = state
-        state = scratch.keep(keep_open, f"search-open-{rnd}")
-        scratch.drop(before)
-        live = live.join(settled, "qid", "left_anti")
-        lo, hi, rnd = hi, hi * 2, rnd + 1
-    if not done:
+    counted = stage(counted_documents(docs), "search-counted")
+    sizes = counted.agg(F.count(F.when(F.col("n") > 0, 1)), F.sum("n"), F.sum(F.size("terms"))).first()
+    big_n, big_l, total = (int(size or 0) for size in sizes)
+    if total == 0:
         return empty
-    found = done[0]
-    for d in done[1:]:
-        found = found.unionByName(d)
+    # Terms found nowhere add nothing and leave here.
+    held = counted.select(F.explode("terms").alias("term")).join(qt.select("term").distinct(), "term", "left_semi")
+    df = held.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    w = F.floor(F.lit(1000.0) * F.log((F.lit(2.0 * big_n + 2)) / (F.lit(2.0) * F.col("df") + F.lit(1.0)))).cast("long")
+    live = stage(qt.join(df.select("term", w.alias("w")), "term"), "search-live")
+    shards = -(-total // POSTINGS_PER_CELL)
+    blocks = max(1, -(-live.count() // TERMS_PER_BLOCK))
+    each = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    texts = counted.select(each(blocks).alias("block"), _dealt("rid", shards).alias("shard"), *counted.columns)
+    asked = live.select(_dealt("qid", blocks).alias("block"), each(shards).alias("shard"), "qid", "term", "q", "w")
+    found = stage(
+        texts.groupBy("block", "shard").cogroup(asked.groupBy("block", "shard")).applyInArrow(
+            _best_of_cell(k, FIRST_DEPTH, big_n, big_l), "qid long, rid long, doc_id long, score long"
+        ),
+        "search-found",
+    )
+    discard(counted)
+    order = F.col("score").desc(), F.coalesce("doc_id", F.lit(_SMALLEST)), F.col("rid")
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy(*order))).where(F.col("rank") <= k)
     names = qt.select("qid", "item_id").distinct()
-    return found.join(names, "qid").select(
-        F.col("item_id").cast("long").alias("item_id"), "rank", F.col("doc_id").cast("long").alias("doc_id"), F.col("score").cast("long").alias("score")
+    return ranked.join(names, "qid").select(
+        F.col("item_id").cast("long").alias("item_id"), F.col("rank").cast("int").alias("rank"), "doc_id", "score"
     )

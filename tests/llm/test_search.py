@@ -87,3 +87,23 @@ def test_clashing_columns_are_ignored(spark):
     docs = spark.createDataFrame([(1, "a b c", 5, "x")], "doc_id long, text string, rank int, score string")
     items = spark.createDataFrame([(1, "a", 3)], "item_id long, text string, doc_id int")
     assert [tuple(r) for r in ranked_search(docs, items).collect()] == brute([(1, "a b c")], [(1, "a")])
+
+
+def test_shards_and_query_blocks_equal_brute_force(spark, shallow, monkeypatch):
+    monkeypatch.setattr(search, "POSTINGS_PER_CELL", 100, raising=False)
+    monkeypatch.setattr(search, "TERMS_PER_BLOCK", 10, raising=False)
+    docs, vocab = corpus(3, 90)
+    docs += [(None, "alpha beta gamma", "en"), (5, docs[5][1], "en"), (500, None, None), (501, "ÀÉ x1-X1_x1\x7fδέλτα", "en")]
+    rnd = random.Random(4)
+    items = [(i, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(1, 40)))) for i in range(20)] + [(90, "àé ÀÉ X1")]
+    assert run(spark, docs, items) == brute(docs, items)
+
+
+def test_rounds_start_no_spark_jobs(spark, shallow):
+    docs, vocab = corpus(5, 200)
+    spark.sparkContext.setJobGroup("search-jobs", "")
+    try:
+        assert run(spark, docs, [(1, " ".join(vocab))]) == brute(docs, [(1, " ".join(vocab))])
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("search-jobs")) < 30
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
