@@ -69,11 +69,12 @@ def blocks(column: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Iter
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit numbers (the finaliser of splitmix64)."""
     x = x.astype(U64, copy=True)
-    x ^= x >> U64(30)
+    shifted = np.empty_like(x)
+    x ^= np.right_shift(x, U64(30), out=shifted)
     x *= U64(0xBF58476D1CE4E5B9)
-    x ^= x >> U64(27)
+    x ^= np.right_shift(x, U64(27), out=shifted)
     x *= U64(0x94D049BB133111EB)
-    x ^= x >> U64(31)
+    x ^= np.right_shift(x, U64(31), out=shifted)
     return x
 
 
@@ -88,7 +89,9 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
     """Running polynomial sums; ``span_hashes`` takes the hash of any span from them."""
     up, _ = _powers(max(BLOCK_BYTES * 2, 1 << max(1, len(data)).bit_length()))
     out = np.zeros(len(data) + 1, U64)
-    np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=out[1:])
+    values = np.take(_BYTE_VALUES, data)
+    values *= up[: len(data)]
+    np.cumsum(values, out=out[1:])
     return out
 
 
@@ -98,6 +101,18 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64))
 
 
+def window_hashes(sums: np.ndarray, size: int, at: np.ndarray | None = None) -> np.ndarray:
+    """``span_hashes`` from each place of ``at`` (by default every byte) to the place ``size`` further on."""
+    n = max(0, len(sums if at is None else at) - size)
+    _, down = _powers(max(BLOCK_BYTES * 2, 1 << max(1, len(sums) - 1).bit_length()))
+    if at is not None:
+        sums = sums[at]
+    out = sums[size:] - sums[:n]
+    out *= down[:n] if at is None else down[at[:n]]
+    out += U64(size) if at is None else (at[size:] - at[:n]).view(U64)
+    return mix(out)
+
+
 class Words:
     """The words of a block: spans, the text of each, the words of text i being ``bounds[i]:bounds[i+1]``."""
 

@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hoopline.llm.blocks import LOWER, SPACES, TextBlock, blocks, mix, prefix_hashes, span_hashes
+from hoopline.llm.blocks import LOWER, SPACES, TextBlock, blocks, mix, prefix_hashes, span_hashes, window_hashes
 from hoopline.llm.bloom import may_contain, membership
-from hoopline.llm.frames import partitions, slices, stage
+from hoopline.llm.frames import discard, partitions, slices, stage
 from hoopline.llm.stars import Groups, linked_classes, parities
 
 SHINGLE = 8
@@ -41,6 +41,7 @@ ROWS = 4
 HELD_BYTES = 16_000_000
 BLOCK_BYTES = 1 << 18
 _BINS = 16
+_FILLED = ~SPACES
 _EMPTY = np.uint32(0xFFFFFFFF)
 _MULTIPLIERS = np.random.default_rng(99).integers(1, 1 << 63, ROWS, dtype=np.uint64) | np.uint64(1)
 
@@ -55,37 +56,37 @@ class Lines:
         starts = starts[starts < len(data)]
         ends = np.append(starts[1:], len(data))[: len(starts)]
         ends = ends - (data[ends - 1] == 10) if len(starts) else ends
-        filled = np.concatenate(([0], np.cumsum(~SPACES[data])))
         text = np.searchsorted(block.offsets, starts, "right") - 1
         first = np.searchsorted(starts, block.offsets[:-1])
         place = np.arange(len(starts)) - first[text] if len(starts) else starts
-        worded = filled[ends] > filled[starts]
+        # a line's break is a space, so it may count with the line
+        worded = np.logical_or.reduceat(_FILLED[data], starts) if len(starts) else np.zeros(0, bool)
         self.starts, self.ends, self.text, self.place = starts[worded], ends[worded], text[worded], place[worded]
         self.n = len(self.starts)
         self.keys = span_hashes(prefix_hashes(data), self.starts, self.ends)
 
 
 def line_shingles(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(line, shingle hash) for every shingle of every line."""
+    """(line, shingle hash) for every shingle of every line. Lines end where a character starts, or the data ends."""
     low = LOWER[data]
     sums = prefix_hashes(low)
-    sizes = ends - starts
-    owner = np.repeat(np.arange(len(starts)), sizes)
-    at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-    chars = (low[at] & 0xC0) != 0x80
-    owner, at = owner[chars], at[chars]
-    counts = np.bincount(owner, minlength=len(starts))
-    full = owner[: len(owner) - SHINGLE + 1] == owner[SHINGLE - 1 :] if len(owner) >= SHINGLE else np.zeros(0, bool)
-    begin = np.flatnonzero(full)
-    following = np.append(at, 0)[begin + SHINGLE]
-    last = begin + SHINGLE == len(owner)
-    inside = ~last & (np.append(owner, -1)[begin + SHINGLE] == owner[begin])
-    stop = np.where(inside, following, ends[owner[begin]])
+    # all shingles of the block, those across line ends too; a line's own lie one after the other
+    if (low < 0x80).all():
+        hashes = window_hashes(sums, SHINGLE)
+        first, counts = starts, ends - starts
+    else:
+        chars = np.append(np.flatnonzero((low & 0xC0) != 0x80), len(low))
+        hashes = window_hashes(sums, SHINGLE, chars)
+        first = np.searchsorted(chars, starts)
+        counts = np.searchsorted(chars, ends) - first
+    full = np.maximum(counts - (SHINGLE - 1), 0)
+    owner = np.repeat(np.arange(len(starts)), full)
+    at = np.repeat(first - (np.cumsum(full) - full), full)
+    at += np.arange(len(at))
     short = np.flatnonzero(counts < SHINGLE)
-    return (
-        np.concatenate((owner[begin], short)),
-        span_hashes(sums, np.concatenate((at[begin], starts[short])), np.concatenate((stop, ends[short]))),
-    )
+    if not len(short):
+        return owner, hashes[at]
+    return np.concatenate((owner, short)), np.concatenate((hashes[at], span_hashes(sums, starts[short], ends[short])))
 
 
 def shingle_sets(block: TextBlock) -> list[np.ndarray]:
@@ -118,6 +119,12 @@ _POWER, _TOTAL = _lend_tables()
 def _borrow(least: np.ndarray) -> np.ndarray:
     """Each empty bin takes the nearest filled bin to its right (cyclically), marked with the distance."""
     filled = least != _EMPTY
+    some = np.flatnonzero(~filled.all(1))
+    if len(some) < len(least):
+        out = least.copy()
+        if len(some):
+            out[some] = _borrow(least[some])
+        return out
     place = np.arange(2 * _BINS)
     nearest = np.where(np.concatenate((filled, filled), 1), place, 4 * _BINS)
     nearest = np.minimum.accumulate(nearest[:, ::-1], 1)[:, ::-1][:, :_BINS]
@@ -137,7 +144,8 @@ def band_hashes(line: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     base = line * _BINS
     for k in range(ROWS):
         h = hashes * _MULTIPLIERS[k]
-        bins = (h.astype(np.uint32) >> np.uint32(28)).astype(np.int64)
+        bins = (h >> np.uint64(28)).view(np.int64)
+        bins &= _BINS - 1
         bins += base
         h >>= np.uint64(32)
         least = np.full(n * _BINS, _EMPTY, np.uint32)
@@ -212,7 +220,7 @@ def _wanted_lines(wanted: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             keys, texts = [], []
-            for _, block in blocks(batch.column(0)):
+            for _, block in blocks(batch.column(0), BLOCK_BYTES):
                 lines = Lines(block)
                 for i in np.flatnonzero(may_contain(wanted.value, lines.keys.view(np.int64))):
                     keys.append(int(lines.keys[i].view(np.int64)))
@@ -234,7 +242,7 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         ids, names = batch.column(0), batch.column(1)
-        for row, block in blocks(batch.column(2)):
+        for row, block in blocks(batch.column(2), BLOCK_BYTES):
             lines = Lines(block)
             at = pa.array(lines.text + row)
             yield pa.RecordBatch.from_arrays(
@@ -255,7 +263,11 @@ def line_classes(documents: DataFrame, text: str = "text") -> DataFrame:
         lines = lines.groupBy("ref").agg(F.first("text").alias("text")).join(wanted, "ref", "left_semi")
         return lines.mapInArrow(_measured, "ref long, text string, size long, parity array<long>")
 
-    return linked_classes(Groups(shared, PERCENT, F.col("ref"), fetch), shingle_sets)
+    # The first round compares all members of all groups, so their texts are read and measured once, for all rounds.
+    held = stage(fetch(shared.select("ref").distinct()), "line-texts")
+    classes = linked_classes(Groups(shared, PERCENT, F.col("ref"), fetch, texts=held), shingle_sets)
+    discard(shared, held)
+    return classes
 
 
 def _kept_places(documents: DataFrame, doc_id: str, text: str) -> DataFrame:

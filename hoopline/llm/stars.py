@@ -115,6 +115,8 @@ class Groups:
     fetch: Callable[[DataFrame], DataFrame]
     may_link: Filter = lambda x, y: F.lit(True)
     details: DataFrame | None = None
+    #: What ``fetch`` returns for all refs, stored by the caller: then no round fetches.
+    texts: DataFrame | None = None
     #: Whether a member may have a partner in its group, from the least ``n`` of the group, ``least_n``.
     reachable: Column | None = None
 
@@ -166,12 +168,13 @@ def linked_classes(groups: Groups, sets: Sets) -> DataFrame:
             before = rows if rows is not groups.rows else None  # the caller's rows are the caller's to delete
             rows = stage(groups.apart(rows, labels), "apart")
             discard(before)
-        texts, details = None, groups.details
+        texts = groups.texts
+        details = groups.details
         if step < STAR_ROUNDS:
             pairs = groups.star(rows, step)
         else:
             if details is None:
-                texts = details = stage(groups.fetch(rows.select("ref").distinct()), "texts")
+                texts = details = texts or stage(groups.fetch(rows.select("ref").distinct()), "texts")
             pairs = groups.all_pairs(rows, details)
         if tested is not None:
             pairs = pairs.join(tested, ["center", "ref"], "left_anti")
@@ -183,7 +186,7 @@ def linked_classes(groups: Groups, sets: Sets) -> DataFrame:
             texts = stage(groups.fetch(refs), "texts")
         left = pairs if details is not None else close_pairs(pairs, texts, groups.percent)
         found = stage(verified(left, texts.select("ref", "text"), sets, groups.percent), "links")
-        if texts is not groups.details:
+        if texts is not groups.details and texts is not groups.texts:
             discard(texts)
         links = found if links is None else links.unionByName(found)
         turned = pairs.unionByName(pairs.select(F.col("ref").alias("center"), F.col("center").alias("ref")))

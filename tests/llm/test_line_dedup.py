@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 
-from hoopline.llm import bloom
+from hoopline.llm import bloom, line_dedup
 from hoopline.llm.line_dedup import SHINGLE, band_hashes, deduplicated_lines, drop_duplicate_lines, line_shingles
 
 
@@ -115,3 +115,16 @@ def test_the_filter_of_wanted_lines_is_filled_in_place():
         bits[k] = np.frombuffer(zstandard.decompress(packed), np.uint8)
     assert bloom.may_contain(bits.tobytes(), values).all()
     assert not bloom.may_contain(bits.tobytes(), np.arange(2000)).any()
+
+
+def test_line_texts_are_read_once_for_all_rounds(spark, monkeypatch):
+    """Lines that share bands but are not alike meet again in later rounds."""
+    rnd, reads = random.Random(8), []
+    base = [rnd.choice("abcdefghijklmnop") for _ in range(60)]
+    lines = ["".join(rnd.choice("qrstuv") if rnd.random() < 0.03 else c for c in base) for _ in range(60)]
+    rows = [(i, line) for i, line in enumerate(lines)]
+    membership = line_dedup.membership
+    monkeypatch.setattr(line_dedup, "membership", lambda wanted: reads.append(1) or membership(wanted))
+    got = deduplicated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute(rows))
+    assert len(reads) == 1
