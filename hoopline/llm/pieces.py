@@ -20,6 +20,7 @@ import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -27,9 +28,11 @@ from pyspark.sql import DataFrame
 from hoopline.llm.frames import Columns, annotate
 
 MARK = "▁"
-TABLE_WORDS = 400_000
+TABLE_WORDS = 200_000
 #: Texts are encoded together up to this length, one at least; their words enter the table in one call.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 250_000
+#: Texts of a batch that are Python strings at a time.
+SLICE_ROWS = 200
 
 SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 PIECES_SCHEMA = "ids array<int>, decoded string"
@@ -117,18 +120,21 @@ def _loaded(model: str) -> MarkedWords:
     return MarkedWords(model)
 
 
+def id_columns(words: MarkedWords, texts: pa.Array) -> Columns:
+    """Ids and decoded texts as Arrow arrays; a batch's ids are held as 4-byte numbers, not as Python's."""
+    ids, decoded, ends = [np.zeros(0, np.int32)], [], [0]
+    for at in range(0, len(texts), SLICE_ROWS):
+        for made, n, plain in words.encode(texts.slice(at, SLICE_ROWS).to_pylist()):
+            if n:
+                ids.append(np.fromstring(made, np.int32, sep=","))
+            ends.append(ends[-1] + n)
+            decoded.append(plain)
+    return {"ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids))), "decoded": decoded}
+
+
 def encode_pieces(documents: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: the ids, and the text decoded from them. ``model``: the model file on each worker."""
-
-    def run(texts: pa.Array) -> Columns:
-        words = _loaded(model)
-        made = list(words.encode(texts.to_pylist()))
-        return {
-            "ids": [[int(i) for i in ids.split(",")] if n else [] for ids, n, _ in made],
-            "decoded": [decoded for _, _, decoded in made],
-        }
-
-    return annotate(documents, text, [doc_id], run, PIECES_SCHEMA)
+    return annotate(documents, text, [doc_id], lambda texts: id_columns(_loaded(model), texts), PIECES_SCHEMA)
 
 
 def piece_digests(documents: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

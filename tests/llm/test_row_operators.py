@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -11,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from hoopline.llm import pieces
 from hoopline.llm.blocks import blocks
 from hoopline.llm.decontaminate import Items, SuffixAutomaton, contamination, decontaminate
 from hoopline.llm.html_extract import extract_pages, main_text
@@ -263,3 +265,20 @@ def test_blocks_keep_rows_apart():
     held = [block.text(i) if block.valid[i] else None for _, block in blocks(texts.slice(3, 190), 7) for i in range(block.n)]
     assert held == texts.slice(3, 190).to_pylist()
     assert list(blocks(pa.array([], pa.string()))) == []
+
+
+def test_ids_of_a_batch_are_held_as_arrays(monkeypatch):
+    """2,000 texts with over 1.5 million ids, of which no list of Python numbers is made."""
+    columns = {}
+    monkeypatch.setattr(pieces, "annotate", lambda df, text, keep, run, schema: columns.setdefault("run", run))
+    encode_pieces(None, piece_model())
+    texts = pa.array([" ".join(f"{(i * 37 + k) % 900} q" for k in range(250)) for i in range(2000)] + [None, ""])
+    pieces._loaded(piece_model())
+    tracemalloc.start()
+    made = columns["run"](texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    ids = pa.array(made["ids"], pa.list_(pa.int32())).to_pylist()
+    library = MarkedWords(piece_model()).model
+    assert ids[:20] + ids[-2:] == [library.encode(t) if t else [] for t in texts.to_pylist()[:20] + [None, ""]]
+    assert sum(map(len, ids)) > 1_500_000 and peak < 60_000_000
