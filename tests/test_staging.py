@@ -8,6 +8,7 @@ from test_betting import fixture
 
 from hoopline.plans import betting
 from hoopline.session import stage, stage_alone
+from workload import betting as games
 
 
 def stored(spark):
@@ -42,3 +43,12 @@ def test_betting_features_keep_one_table_of_games(spark):
     out = betting.betting_features(*fixture(spark), rows_per_task=10)
     assert {x.rsplit("-", 1)[0] for x in stored(spark) - before} == {"games-with-form", "hot-keys"}
     assert out.count() > 0
+
+
+def test_the_form_of_one_row_per_game_goes_with_its_use(spark, monkeypatch):
+    kept, made, before = games.stage_alone, [], stored(spark)
+    monkeypatch.setattr(games, "stage_alone", lambda make, label: made.append(label) or kept(make, label))
+    out = games.a2(spark, "/root/testdata/sf0.001")
+    left = {x.rsplit("-", 1)[0] for x in stored(spark) - before}
+    assert made == ["player-form"] and "player-form" not in left and {"team-games", "game-rows"} <= left
+    assert out.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey").distinct().count()

@@ -18,7 +18,7 @@ from hoopline.operators.windows import (
 )
 from hoopline.operators import increments as R
 from hoopline.plans import betting
-from hoopline.session import stage
+from hoopline.session import discard, stage, stage_alone
 from workload import sql as S
 from workload.registry import query
 from workload.views import TIES, lines, player_logs, players
@@ -157,10 +157,13 @@ def _rounded(df):
     return df.withColumns({c: F.round(c, 4) for c in _rounded_list()})
 
 
-def _team_games(spark, sf):
+def _player_form(spark, sf):
     rows = betting.clean_player_logs(player_logs(spark, sf), players(spark, sf), keep=["LINE_NO"])
-    form = betting.with_player_form(rows, 3, ["GAME_ID", "LINE_NO", "PLAYER_PTS"])
-    return betting.team_game_rows(form, 3)
+    return betting.with_player_form(rows, 3, ["GAME_ID", "LINE_NO", "PLAYER_PTS"])
+
+
+def _team_games(spark, sf):
+    return betting.team_game_rows(_player_form(spark, sf), 3)
 
 
 @query("a1_role_aggregates", f"{_TEAM_GAME_SQL} {_rounded_sql('team_game')}")
@@ -318,7 +321,11 @@ _GAMES_SQL = _games_sql()
 
 
 def _games(spark, sf):
-    return betting.game_rows(betting.with_team_history(_team_games(spark, sf), 3), 3)
+    """Players' form is stored by itself until the team rows are: its shuffles are gone before theirs begin."""
+    form = stage_alone(lambda: _player_form(spark, sf), "player-form")
+    history = betting.with_team_history(betting.team_game_rows(form, 3), 3)
+    discard(form)
+    return betting.game_rows(history, 3)
 
 
 @query("a2_one_row_per_game", f"{_GAMES_SQL} {_rounded_sql('per_game')}")
